@@ -332,6 +332,19 @@ def q_incremental_commits_mart(spark, sf):
     return out.select("sha", "commit_message", "commit_timestamp")
 
 
+def q_stream_incremental_commits(spark, sf):
+    """Land two extraction batches as files; an availableNow stream upserts each into staging."""
+    from commitlake.streaming import stream_upsert
+    run = _run_id()
+    landing = shared_dir(spark, "landing", f"commits-stream-{run}")
+    table = VersionedTable(spark, shared_dir(spark, "tables", f"stg_commits_stream-{run}"))
+    checkpoint = shared_dir(spark, "streams", f"stg_commits-{run}")
+    for batch, versions in [(1, (0,)), (2, (1,))]:
+        fx.raw_commits(spark, sf, versions).write.parquet(f"{landing}/batch={batch}")
+        out = stream_upsert(spark, landing, stg_commits, table, ["sha"], checkpoint)
+    return out.select("sha", "commit_message", "_sdc_extracted_at")
+
+
 def _marts(spark, sf):
     stg = s_commits(spark, sf)
     return {
@@ -436,6 +449,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_commits": q_incremental_commits,
     "incremental_repositories": q_incremental_repositories,
     "incremental_commits_mart": q_incremental_commits_mart,
+    "stream_incremental_commits": q_stream_incremental_commits,
     # data quality
     "test_unique": q_test_unique,
     "test_not_null": q_test_not_null,

@@ -645,6 +645,7 @@ ORACLE_SQL: dict[str, str] = {
           SELECT * FROM full0 WHERE repo_sk NOT IN (SELECT repo_sk FROM batch1)
           UNION ALL SELECT * FROM batch1) AS u""",
     "incremental_commits_mart": project(stg_commits("0"), "sha, commit_message, @commit_timestamp"),
+    "stream_incremental_commits": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
     "test_unique": f"""SELECT github_author_id, CAST(count(*) AS BIGINT) AS n_records FROM ({STG_C}) AS s
         WHERE github_author_id IS NOT NULL GROUP BY github_author_id HAVING count(*) > 1""",
     "test_not_null": f"""SELECT column_name, CAST(failures AS BIGINT) AS failures FROM (
