@@ -82,7 +82,9 @@ def parse_payload(raw: DataFrame, fields, keep: list[str] | None = None, strict:
     out = []
     for name, path, kind in fields:
         text = _leaf(F.col("_p"), path)
-        if strict:
+        # Container text under an int/bool/timestamp leaf already fails its safe cast → NULL,
+        # so only string leaves need the exact container check.
+        if strict and kind == "s":
             suspicious = text.startswith("{") | text.startswith("[")
             exact = scalar_text(F.try_variant_get(F.try_parse_json(F.col("_raw")), f"$.{path}", "variant"))
             text = F.when(suspicious, exact).otherwise(text)

@@ -93,3 +93,10 @@ def test_rates_round_half_up_and_null_safe(spark):
 def test_greatest_strict_keeps_null(spark):
     df = spark.createDataFrame([(None,), (0,), (5,)], "x long")
     assert [r[0] for r in df.select(greatest_strict(F.col("x"), 1)).collect()] == [None, 1, 5]
+
+
+@pytest.mark.parametrize("payload,kind,expected", [('{"a":{"x":1}}', "i", None), ('{"a":[true]}', "b", None),
+                                                   ('{"a":"7"}', "i", 7), ('{"a":["2024-01-02T03:04:05Z"]}', "t", None)])
+def test_typed_leaves_reject_containers(spark, payload, kind, expected):
+    df = spark.createDataFrame([(payload,)], "data string")
+    assert parse_payload(df, [("a", "a", kind)], keep=[]).first()["a"] == expected
