@@ -33,6 +33,8 @@ def main() -> None:
     extra = {}
     scratch = tempfile.mkdtemp(prefix="commitlake-bench-")
     extra["spark.checkpoint.dir"] = f"{scratch}/checkpoint"
+    if os.environ.get("BENCH_EVENT_LOG"):          # stage/task timings for analysis, written to a local folder
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus), extra=extra)
     root = shared_dir(spark, "bench")
     times: dict[str, float] = {}

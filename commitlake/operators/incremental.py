@@ -29,7 +29,8 @@ class VersionedTable:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
 
-    def versions(self) -> list[int]:
+    def _listing(self) -> list[tuple[int, bool]]:
+        """(version, complete) for every version folder; complete = has ``_SUCCESS``."""
         fs, jvm = self._fs()
         root = jvm.org.apache.hadoop.fs.Path(self.root)
         if not fs.exists(root):
@@ -37,11 +38,15 @@ class VersionedTable:
         out = []
         for status in fs.listStatus(root):
             name = status.getPath().getName()
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if name.startswith("v=") and fs.exists(done):
-                out.append(int(name[2:]))
+            if name.startswith("v=") and name[2:].isdigit():
+                done = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+                out.append((int(name[2:]), done))
         return sorted(out)
 
+    def versions(self) -> list[int]:
+        """Complete versions, oldest first (a folder left by a failed job is ignored)."""
+        return [v for v, done in self._listing() if done]
+
     def path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
 
@@ -50,8 +55,8 @@ class VersionedTable:
         return self.spark.read.parquet(self.path(versions[-1])) if versions else None
 
     def write(self, df: DataFrame, sort_within: list[str] | None = None) -> DataFrame:
-        versions = self.versions()
-        target = self.path((versions[-1] + 1) if versions else 1)
+        listing = self._listing()
+        target = self.path((listing[-1][0] + 1) if listing else 1)  # skip past incomplete folders too
         out = df.sortWithinPartitions(*sort_within) if sort_within else df
         out.write.mode("errorifexists").parquet(target)
         return self.spark.read.parquet(target)

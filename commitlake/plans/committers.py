@@ -212,7 +212,8 @@ def committer_stats(stg_commits: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def committers(stg_commits: DataFrame, as_of: Column | None = None, built_at: Column | None = None) -> DataFrame:
+def committers(stg_commits: DataFrame, as_of: Column | None = None, built_at: Column | None = None,
+               sort: bool = True) -> DataFrame:
     """The committers mart: ``committer_stats`` plus both global ranks.
 
     Ranks break ties by ``committer_id`` (the source leaves ties arbitrary).
@@ -223,4 +224,6 @@ def committers(stg_commits: DataFrame, as_of: Column | None = None, built_at: Co
                          "rank_by_recent_activity")
     ranked = global_rank(ranked, [c("total_commits").desc(), c("committer_id").asc()], "rank_by_total_commits")
     built = (built_at if built_at is not None else F.current_timestamp()).alias("dbt_updated_at")
-    return ranked.select(*FINAL_COLUMNS, "rank_by_total_commits", "rank_by_recent_activity", built)
+    out = ranked.select(*FINAL_COLUMNS, "rank_by_total_commits", "rank_by_recent_activity", built)
+    # Written in rank order (a distributed range sort over one row per author).
+    return out.orderBy("rank_by_total_commits") if sort else out

@@ -83,3 +83,16 @@ def test_incremental_run_versions(spark):
     assert table.versions() == [1, 2]
     full = incremental_run(src1, model, table, ["k"], "w", full_refresh=True)
     assert full.count() == 2 and table.versions() == [1, 2, 3]
+
+
+def test_versioned_table_skips_incomplete_folder(spark):
+    root = shared_dir(spark, "tests", f"vt-crash-{random.random()}")
+    table = VersionedTable(spark, root)
+    table.write(spark.createDataFrame([(1,)], "k int"))
+    spark.createDataFrame([(9,)], "k int").write.parquet(f"{root}/v=000002")
+    jvm = spark.sparkContext._jvm   # simulate a job lost before commit: no _SUCCESS marker
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/v=000002/_SUCCESS")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
+    assert table.versions() == [1] and table.read().first()["k"] == 1
+    out = table.write(spark.createDataFrame([(2,)], "k int"))
+    assert table.versions() == [1, 3] and out.first()["k"] == 2
