@@ -51,8 +51,11 @@ def _failures(tables: dict[str, DataFrame], check: Check) -> DataFrame:
     elif check.kind == "not_null":
         bad = df.agg(F.count_if(F.col(check.column).isNull()).cast("bigint").alias("failures"))
     elif check.kind == "relationships":
-        bad = relationships(df, check.column, tables[check.parent], check.field).agg(
-            F.count(F.lit(1)).alias("failures"))
+        # Count per child key first (combines map-side, so a hot key is one row), then anti-join the keys.
+        per_key = df.where(F.col(check.column).isNotNull()).groupBy(check.column).agg(
+            F.count(F.lit(1)).alias("_n"))
+        bad = relationships(per_key, check.column, tables[check.parent], check.field).agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
     else:
         raise ValueError(f"unknown check {check.kind}")
     return bad.select(F.lit(check.table).alias("table_name"), F.lit(check.kind).alias("check_name"),

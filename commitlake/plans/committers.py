@@ -40,6 +40,9 @@ COUNTED_TYPES = ["fix", "feature", "docs", "refactor", "test", "chore", "perform
 TYPE_COLUMN = {"performance": "performance_commits"}
 BUSINESS_HOURS = (9, 17)          # inclusive, UTC
 WEEKEND_DAYS = (1, 7)             # Sunday, Saturday (1 = Sunday)
+# Activity classes by the first non-empty recency window, most recent first.
+ACTIVITY_LEVELS = [(30, "Very Active"), (90, "Active"), (180, "Moderately Active"), (365, "Less Active")]
+INACTIVE = "Inactive"
 HOURS = list(range(24))
 DAYS = list(range(1, 8))
 
@@ -167,9 +170,12 @@ FINAL_COLUMNS = [
 ]
 
 
-def activity_status(c30: Column, c90: Column, c180: Column, c365: Column) -> Column:
-    return (F.when(c30 > 0, "Very Active").when(c90 > 0, "Active").when(c180 > 0, "Moderately Active")
-            .when(c365 > 0, "Less Active").otherwise("Inactive"))
+def activity_status(*recent_counts: Column) -> Column:
+    """Class of the first recency window (30, 90, 180, 365 days) holding any commit."""
+    out = None
+    for count, (_, label) in zip(recent_counts, ACTIVITY_LEVELS):
+        out = F.when(count > 0, label) if out is None else out.when(count > 0, label)
+    return out.otherwise(INACTIVE)
 
 
 def committer_stats(stg_commits: DataFrame, as_of: Column) -> DataFrame:

@@ -116,7 +116,8 @@ def typed_commits(sha_prefix: str = "c", pr: bool = False, versions: str = "late
 
 
 def commit_type_sql(msg: str) -> str:
-    """The source's classifier, verbatim regex semantics (DuckDB uses the same RE2 dialect)."""
+    """The classifier with the source's own regex (DuckDB uses the same RE2 dialect)."""
+    # Prefix → class in first-match order; the pattern is prefix, '(' or ':', word boundary.
     pairs = [("feat", "feature"), ("fix", "fix"), ("docs", "docs"), ("refactor", "refactor"),
              ("test", "test"), ("chore", "chore"), ("perf", "performance"), ("style", "style"),
              ("ci", "ci"), ("build", "build")]
