@@ -18,6 +18,8 @@ from commitlake.operators.quality import MART_CHECKS, assert_passes, quality_rep
 from commitlake.plans.committers import committers
 from commitlake.plans.marts import branches_mart, commits_mart, pull_request_commits_mart, repositories_mart
 from commitlake.plans.staging import stg_branches, stg_commits, stg_pull_request_commits, stg_repositories
+from commitlake.session import tune_shuffle_partitions
+from commitlake.sources.envelope import read_raw
 from commitlake.sources.sinks import apply_comments, publish
 
 STAGING_KEYS = {
@@ -52,6 +54,12 @@ class BuildResult:
     warnings: list = field(default_factory=list)
 
 
+def build_from_paths(spark: SparkSession, raw_paths: dict[str, str], root: str, **kwargs) -> BuildResult:
+    """``build_all`` over landed raw folders, with shuffle partitions sized from their bytes."""
+    tune_shuffle_partitions(spark, list(raw_paths.values()))
+    return build_all(spark, {name: read_raw(spark, path) for name, path in raw_paths.items()}, root, **kwargs)
+
+
 def build_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: Column | None = None,
               full_refresh: bool = False, publish_to: str | None = None,
               fail_on_error: bool = True) -> BuildResult:

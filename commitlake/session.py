@@ -62,3 +62,27 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         sc.setCheckpointDir(root)
     root = root.rstrip("/")
     return "/".join([root, *parts]) if parts else root
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (one namenode/object-store summary call per path)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def tune_shuffle_partitions(spark: SparkSession, paths: list[str],
+                            target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so each initial shuffle partition holds about
+    ``target_bytes`` of input; AQE then coalesces small ones. Never lowers the current value."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, -(-input_bytes(spark, paths) // target_bytes))
+    if wanted != current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_bytes, 256 * 1024 * 1024)))
+    return wanted

@@ -96,3 +96,16 @@ def test_versioned_table_skips_incomplete_folder(spark):
     assert table.versions() == [1] and table.read().first()["k"] == 1
     out = table.write(spark.createDataFrame([(2,)], "k int"))
     assert table.versions() == [1, 3] and out.first()["k"] == 2
+
+
+def test_tune_shuffle_partitions_only_raises(spark):
+    from commitlake.session import tune_shuffle_partitions
+    path = shared_dir(spark, "tests", f"size-{random.random()}")
+    spark.range(20000).selectExpr("id", "repeat('x', 50) AS pad").write.parquet(path)
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert tune_shuffle_partitions(spark, [path], target_bytes=10**9) == before
+    raised = tune_shuffle_partitions(spark, [path], target_bytes=1024)
+    assert raised > before
+    spark.conf.set("spark.sql.shuffle.partitions", str(before))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
