@@ -345,6 +345,23 @@ def q_stream_incremental_commits(spark, sf):
     return out.select("sha", "commit_message", "_sdc_extracted_at")
 
 
+def q_published_branches(spark, sf):
+    """Full-refresh publication into the catalog, read back by name."""
+    from commitlake.sources.sinks import apply_comments, publish
+    name = f"branches_{_run_id()[:12]}"
+    out = publish(branches_mart(s_branches(spark, sf), _as_of()), name, "marts")
+    apply_comments(spark, f"marts.{name}", "Latest known state of each branch.", {"branch_sk": "Branch key."})
+    return out.select("branch_sk", "is_main_branch", "is_protected")
+
+
+def q_view_commits_by_type(spark, sf):
+    """View materialisation of the commits mart, queried with SQL."""
+    from commitlake.sources.sinks import publish_view
+    publish_view(m_commits(spark, sf), "commits_mart_view")
+    return spark.sql("SELECT commit_type, commit_date, count(*) AS commit_count FROM commits_mart_view "
+                     "GROUP BY commit_type, commit_date")
+
+
 def _marts(spark, sf):
     stg = s_commits(spark, sf)
     return {
@@ -450,6 +467,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_repositories": q_incremental_repositories,
     "incremental_commits_mart": q_incremental_commits_mart,
     "stream_incremental_commits": q_stream_incremental_commits,
+    # sinks
+    "published_branches": q_published_branches,
+    "view_commits_by_type": q_view_commits_by_type,
     # data quality
     "test_unique": q_test_unique,
     "test_not_null": q_test_not_null,

@@ -608,6 +608,9 @@ ORACLE_SQL: dict[str, str] = {
           UNION ALL SELECT * FROM batch1) AS u""",
     "incremental_commits_mart": project(stg_commits("0"), "sha, commit_message, @commit_timestamp"),
     "stream_incremental_commits": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
+    "published_branches": project(stg_branches(), "branch_sk, (branch_name = 'main') AS is_main_branch, is_protected"),
+    "view_commits_by_type": f"""SELECT commit_type, commit_date, CAST(count(*) AS BIGINT) AS commit_count
+        FROM ({STG_C}) AS s GROUP BY commit_type, commit_date""",
     "test_unique": f"""SELECT github_author_id, CAST(count(*) AS BIGINT) AS n_records FROM ({STG_C}) AS s
         WHERE github_author_id IS NOT NULL GROUP BY github_author_id HAVING count(*) > 1""",
     "test_not_null": f"""SELECT column_name, CAST(failures AS BIGINT) AS failures FROM (
