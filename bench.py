@@ -24,7 +24,7 @@ from commitlake.plans import (  # noqa: E402
 )
 from commitlake.session import build_session, shared_dir  # noqa: E402
 from commitlake.sources import fixtures as fx  # noqa: E402
-from commitlake.sources.envelope import read_raw  # noqa: E402
+from commitlake.sources.envelope import read_raw, write_raw  # noqa: E402
 
 
 def main() -> None:
@@ -55,8 +55,8 @@ def main() -> None:
         # 1. land raw envelopes (what the extractor/loader delivers)
         def land():
             for name, make in fx.RAW_STREAMS.items():
-                make(spark, sf, (0,)).write.parquet(f"{root}/{tag}/raw/{name}/batch=1")
-                make(spark, sf, (1,)).write.parquet(f"{root}/{tag}/raw/{name}/batch=2")
+                write_raw(make(spark, sf, (0,)), f"{root}/{tag}/raw/{name}/batch=1")
+                write_raw(make(spark, sf, (1,)), f"{root}/{tag}/raw/{name}/batch=2")
         timed("land_raw", land)
         raw = {n: read_raw(spark, f"{root}/{tag}/raw/{n}") for n in fx.RAW_STREAMS}
         raw_b1 = {n: read_raw(spark, f"{root}/{tag}/raw/{n}/batch=1") for n in fx.RAW_STREAMS}

@@ -38,6 +38,12 @@ def land_envelope(records: DataFrame, payload: list[Column] | Column, extracted_
     )
 
 
+def write_raw(raw: DataFrame, path: str, mode: str = "append") -> None:
+    """Parquet landing of an envelope stream (zstd, plain-encoded payload text)."""
+    from commitlake.operators.incremental import parquet_options
+    raw.write.mode(mode).options(**parquet_options(raw.columns)).parquet(path)
+
+
 def write_jsonl(raw: DataFrame, path: str, mode: str = "append") -> None:
     """JSON-lines landing (one envelope per line), the alternate loader format."""
     raw.select(*[f.name for f in ENVELOPE.fields]).write.mode(mode).json(path)

@@ -20,7 +20,9 @@ def publish(df: DataFrame, table: str, database: str = "marts", path: str | None
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     location = path or shared_dir(spark, "warehouse", database, table)
-    df.write.mode("overwrite").format("parquet").option("path", location).saveAsTable(f"{database}.{table}")
+    from commitlake.operators.incremental import parquet_options
+    (df.write.mode("overwrite").format("parquet").options(**parquet_options(df.columns)).option("path", location)
+     .saveAsTable(f"{database}.{table}"))
     return spark.table(f"{database}.{table}")
 
 
