@@ -34,7 +34,3 @@ def latest_by(df: DataFrame, key: str, order: list[str], values: list[str]) -> D
     pick = F.max_by(F.struct(*values), F.struct(*order))
     return df.groupBy(key).agg(pick.alias("_v")).select(key, *[F.col("_v").getField(v).alias(v) for v in values])
 
-
-def struct_argmax(values: list[Column], order: list[Column]) -> Column:
-    """Aggregate expression form of :func:`latest_by` for use inside a wider ``agg``."""
-    return F.max_by(F.struct(*values), F.struct(*order))

@@ -84,7 +84,7 @@ def quality_report(tables: dict[str, DataFrame], checks: list[Check]) -> DataFra
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.select(*REPORT_COLUMNS)
 
 
 def assert_passes(report: DataFrame) -> list:

@@ -58,9 +58,6 @@ def _staged(raw: DataFrame, fields, keys: list[str], extra: list[str], order: li
                          keep=[*keys, *extra, *SDC_COLUMNS], strict=strict)
 
 
-COMMIT_DERIVED_SOURCE = "commit_timestamp"
-
-
 def _commit_derived(ts: Column) -> list[Column]:
     return [
         pr_number(c("commit_message")).alias("pull_request_number"),
