@@ -31,3 +31,20 @@ def test_build_all_gates_on_error_checks(spark):
     assert failing == {("commits", "git_author_email")}      # the fixture nulls some author e-mails
     with pytest.raises(AssertionError, match="git_author_email"):
         assert_passes(res.report)                             # what build_all runs before publishing
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_build_from_landed_paths(spark):
+    from commitlake.plans.build import build_from_paths
+    from commitlake.sources.envelope import write_raw
+    root = shared_dir(spark, "tests", f"landed-{uuid.uuid4().hex}")
+    paths = {}
+    for name, make in fx.RAW_STREAMS.items():
+        paths[name] = f"{root}/raw/{name}"
+        write_raw(make(spark, SF), paths[name])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    res = build_from_paths(spark, paths, f"{root}/build", as_of=fx.as_of_lit(), fail_on_error=False)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
+    assert res.marts["commits"].count() == res.staging["commits"].count() > 0

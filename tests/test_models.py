@@ -141,3 +141,12 @@ def test_parse_order_does_not_change_results(spark):
         a, b = build(raw, dedupe_first=True), build(raw, dedupe_first=False)
         assert a.columns == b.columns
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_staging_dedupe_limits_rows_before_the_shuffle(spark, envelope):
+    raw = envelope([(commit("s1", "2024-01-10T10:00:00Z"), "2024-02-01T00:00:00Z")])
+    for df in (stg_commits(raw), stg_repositories(envelope([(repo(1), "2024-02-01T00:00:00Z")]), as_of())):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+        before_shuffle = plan.split("Exchange hashpartitioning")[1]
+        assert "WindowGroupLimit" in before_shuffle      # partial limit runs map-side: one row per key per task
