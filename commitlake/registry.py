@@ -296,6 +296,26 @@ def q_watermark_filter(spark, sf):
                          keep=["_sdc_extracted_at"])
 
 
+EARLIER_BUILD_CUTOFF = "2023-07-01 00:00:00"   # the commits mart was first built when only older commits existed
+
+
+def q_watermark_event_time(spark, sf):
+    """Rows of staging newer (by commit time) than the commits mart of an earlier build."""
+    stg = s_commits(spark, sf)
+    earlier_mart = commits_mart(stg.where(c("commit_timestamp") < F.lit(EARLIER_BUILD_CUTOFF).cast("timestamp")),
+                                _as_of())
+    return watermark_filter(stg, earlier_mart, "commit_timestamp").select("sha", "commit_timestamp")
+
+
+def q_incremental_two_batches(spark, sf):
+    """Branches staging loaded in two extraction batches (watermark + upsert by branch_sk)."""
+    table = VersionedTable(spark, shared_dir(spark, "tables", f"stg_branches-{_run_id()}"))
+    model = lambda raw: stg_branches(raw, _as_of())
+    for versions in [(0,), (0, 1)]:
+        out = incremental_run(fx.raw_branches(spark, sf, versions), model, table, ["branch_sk"], "_sdc_extracted_at")
+    return out.select("branch_sk", "is_protected", "commit_sha", "_sdc_extracted_at")
+
+
 def q_upsert(spark, sf):
     target = s_commits(spark, sf, versions=(0,))
     batch = s_commits(spark, sf, versions=(1,))
@@ -462,9 +482,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "predicates": q_predicates,
     # incremental
     "watermark_filter": q_watermark_filter,
+    "watermark_event_time": q_watermark_event_time,
     "upsert": q_upsert,
     "incremental_commits": q_incremental_commits,
     "incremental_repositories": q_incremental_repositories,
+    "incremental_two_batches": q_incremental_two_batches,
     "incremental_commits_mart": q_incremental_commits_mart,
     "stream_incremental_commits": q_stream_incremental_commits,
     # sinks

@@ -600,6 +600,10 @@ ORACLE_SQL: dict[str, str] = {
                           "OR (git_author_email IS NULL AND repo_id >= 105 AND repo_id < 108)"),
     "watermark_filter": project(typed_commits("c", False, "1"), "@_sdc_extracted_at, sha, commit_message"),
     "upsert": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
+    "watermark_event_time": project(STG_C, "sha, @commit_timestamp",
+                                    f"WHERE commit_timestamp > (SELECT max(commit_timestamp) FROM ({STG_C}) AS e "
+                                    "WHERE commit_timestamp < TIMESTAMP '2023-07-01 00:00:00')"),
+    "incremental_two_batches": project(stg_branches(), "branch_sk, is_protected, commit_sha, @_sdc_extracted_at"),
     "incremental_commits": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
     "incremental_repositories": f"""
         WITH full0 AS ({stg_repositories('0')}), batch1 AS ({stg_repositories('1')})
