@@ -382,8 +382,8 @@ def q_view_commits_by_type(spark, sf):
                      "GROUP BY commit_type, commit_date")
 
 
-def _marts(spark, sf):
-    stg = s_commits(spark, sf)
+def _marts(spark, sf, stg=None):
+    stg = stg if stg is not None else s_commits(spark, sf)
     return {
         "branches": branches_mart(s_branches(spark, sf), _as_of()),
         "commits": commits_mart(stg, _as_of()),
@@ -409,8 +409,9 @@ def q_test_relationships(spark, sf):
 def q_test_report(spark, sf):
     """The declared suite over the marts, materialised first as in a real build (one write per mart)."""
     run = _run_id()
+    stg = VersionedTable(spark, shared_dir(spark, "tables", f"report-{run}", "stg_commits")).write(s_commits(spark, sf))
     marts = {name: VersionedTable(spark, shared_dir(spark, "tables", f"report-{run}", name)).write(df)
-             for name, df in _marts(spark, sf).items()}
+             for name, df in _marts(spark, sf, stg).items()}
     return quality_report(marts, MART_CHECKS)
 
 
