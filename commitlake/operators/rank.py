@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitlake.session import shared_dir
@@ -20,8 +20,8 @@ def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     row with its partition index and position, and materialise that once in
     the shared checkpoint folder so the (sample-based) range bounds cannot
     change between the two passes. Per-partition counts - one row per
-    partition, a size bound fixed by the partition count - are turned into
-    offsets and broadcast back. Row order of the result is not guaranteed.
+    partition, a size bound fixed by the partition count - are collected,
+    turned into offsets and broadcast back. Row order of the result is not guaranteed.
     ``order`` must be a total order (add a unique tie-break column).
     """
     spark = df.sparkSession
@@ -30,9 +30,13 @@ def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     path = shared_dir(spark, "rank", f"{name}-{uuid.uuid4().hex}")
     tagged.write.parquet(path)
     tagged = spark.read.parquet(path)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    # One (partition, rows) pair per partition: bounded by the partition count, so it may go to the driver.
+    counts = sorted(tuple(r) for r in tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect())
+    running, rows = 0, []
+    for pid, cnt in counts:
+        rows.append((pid, running))
+        running += cnt
+    offsets = spark.createDataFrame(rows, "_pid int, _off long")
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), _ROW_BITS)
     ranked = tagged.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_off") + pos + 1)
     return ranked.drop("_pid", "_mid", "_off")

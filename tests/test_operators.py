@@ -109,3 +109,8 @@ def test_tune_shuffle_partitions_only_raises(spark):
     assert raised > before
     spark.conf.set("spark.sql.shuffle.partitions", str(before))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
+
+
+def test_global_rank_empty_input(spark):
+    df = spark.createDataFrame([], "id long, score long")
+    assert global_rank(df, [F.col("score").desc(), F.col("id")], "rk").count() == 0
