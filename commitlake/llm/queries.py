@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from commitlake.llm import bpe, quality
+from commitlake.llm import bpe, minhash, quality
 from commitlake.llm.common import documents
+from commitlake.llm.oracle import ORACLE_SQL
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -23,7 +24,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), 85).drop("text_key")
+
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op4_bpe)
+    f.__name__: f for f in (op1_quality_rules, op4_bpe, op9_minhash)
 }
-ORACLE_SQL: dict[str, str] = {}
