@@ -11,6 +11,7 @@ from commitlake.session import configure, shared_dir
 
 SPACE = "\\x20\\x09-\\x0D"            # the white space that separates words, inside a regex class
 WORD = f"[^{SPACE}]+"
+CACHE_CHARS = 64                      # longer words are not remembered in a worker's cache
 ARROW_ROWS = 1000                     # rows of one Arrow batch: texts are long, the default of 10,000 is not for them
 
 
@@ -47,3 +48,22 @@ def packed(docs: DataFrame, *columns: str) -> DataFrame:
     """``columns`` of ``docs`` next to one struct ``row`` that carries every input column, whatever its name."""
     return docs.select(F.struct("*").alias("row")).select(
         "row", *[F.col("row")[c].alias(f"k{i}") for i, c in enumerate(columns)])
+
+
+class Cache:
+    """A dictionary of bounded size: two generations, the older one is dropped when the younger one is full."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size // 2, {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(key) <= CACHE_CHARS:
+            if len(self.young) >= self.size:
+                self.old, self.young = self.young, {}
+            self.young[key] = value

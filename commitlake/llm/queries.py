@@ -7,11 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from commitlake.llm import bpe, minhash, quality
-from commitlake.llm.common import documents
+from commitlake.llm import bpe, lm, minhash, quality, tokenfile
+from commitlake.llm.common import documents, scratch_path
 from commitlake.llm.oracle import ORACLE_SQL
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +26,15 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    return tokenfile.read_tokens(tokenfile.write_tokens(documents(spark, sf_dir), WORD_BPE, 2, folder), with_ids=False)
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf_dir), PIECES)
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), 85).drop("text_key")
 
@@ -31,5 +42,5 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op4_bpe, op9_minhash)
+    f.__name__: f for f in (op1_quality_rules, op4_bpe, op6_token_files, op8_lm_scoring, op9_minhash)
 }
