@@ -27,3 +27,39 @@ reach(doc_id, other) AS (
 SELECT sets.doc_id, len(s) AS n_shingles, component_id, sets.doc_id = component_id AS kept
 FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) USING (doc_id)
 """
+
+ORACLE_SQL["op3_mixing"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS hash,
+    len(coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), [])) AS size
+  FROM documents
+), sources AS (
+  SELECT source, source_size, nr, CASE (nr - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS nr
+        FROM docs GROUP BY source)
+), pace(step, p) AS (
+  SELECT 0, CAST(sum(source_size) AS DOUBLE) / sum(weight) FROM sources
+  UNION ALL
+  SELECT step + 1, CAST(sum(source_size) - sum(CASE WHEN 3 * source_size <= weight * p THEN 3 * source_size ELSE 0 END)
+      AS DOUBLE) / sum(CASE WHEN 3 * source_size <= weight * p THEN 0 ELSE weight END)
+  FROM sources, pace WHERE step < 40 GROUP BY step, p
+), targets AS (
+  SELECT source, source_size, nr,
+    CASE WHEN 3 * source_size <= weight * p THEN CAST(3 * source_size AS DOUBLE) ELSE weight * p END AS target
+  FROM sources, (SELECT p FROM pace WHERE step = 40)
+), queue AS (
+  SELECT d.*, source_size, nr, target,
+    sum(size) OVER (PARTITION BY d.source ORDER BY hash, doc_id ROWS UNBOUNDED PRECEDING) AS before
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), items AS (
+  SELECT doc_id, size, sum(size) OVER (ORDER BY (r * source_size + before) / target, nr, hash, doc_id
+                                       ROWS UNBOUNDED PRECEDING) AS total
+  FROM queue, range(3) AS rounds(r)
+  WHERE size > 0 AND r < least(3, floor(target / source_size) + 1)
+), taken AS (
+  SELECT doc_id, sum(size) AS taken FROM items
+  WHERE total <= (SELECT sum(size) FROM docs) GROUP BY doc_id
+)
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
+FROM queue LEFT JOIN taken USING (doc_id)
+"""

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from commitlake.llm import bpe, lm, minhash, quality, tokenfile
+from commitlake.llm import bpe, fingerprint, lm, minhash, mixing, quality, sharding, tokenfile
 from commitlake.llm.common import documents, scratch_path
 from commitlake.llm.oracle import ORACLE_SQL
 
@@ -22,6 +23,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(docs, weights)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_table(documents(spark, sf_dir))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir), BYTE_BPE)
 
@@ -31,6 +36,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(tokenfile.write_tokens(documents(spark, sf_dir), WORD_BPE, 2, folder), with_ids=False)
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_table(documents(spark, sf_dir), 40).withColumns(
+        {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(documents(spark, sf_dir), PIECES)
 
@@ -39,8 +49,13 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), 85).drop("text_key")
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_table(documents(spark, sf_dir))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op4_bpe, op6_token_files, op8_lm_scoring, op9_minhash)
+    f.__name__: f for f in (op1_quality_rules, op3_mixing, op4_bpe, op6_token_files, op7_sharding, op8_lm_scoring,
+                          op9_minhash, op10_fingerprints)
 }
