@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import bpe, fingerprint, lm, minhash, mixing, quality, sharding, tokenfile
+from commitlake.llm import bpe, fingerprint, lm, minhash, mixing, pii, quality, sharding, tokenfile
 from commitlake.llm.common import documents, scratch_path
 from commitlake.llm.oracle import ORACLE_SQL
 
@@ -31,6 +31,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_table(documents(spark, sf_dir))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "tokens")
     return tokenfile.read_tokens(tokenfile.write_tokens(documents(spark, sf_dir), WORD_BPE, 2, folder), with_ids=False)
@@ -56,6 +60,6 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_mixing, op4_bpe, op6_token_files, op7_sharding, op8_lm_scoring,
+    f.__name__: f for f in (op1_quality_rules, op3_mixing, op4_bpe, op5_pii, op6_token_files, op7_sharding, op8_lm_scoring,
                           op9_minhash, op10_fingerprints)
 }
