@@ -15,20 +15,18 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-from commitlake.llm.common import prepare
-
-CACHE_SIZE = 600_000       # pre-tokens, and words, remembered per worker
-CACHE_CHARS = 64           # longer pre-tokens are not remembered
+from commitlake.llm.common import Cache, prepare
 
+CACHE_SIZE = 1_200_000     # words, and pre-tokens, remembered per worker (some 200 bytes each)
 BEFORE_WORD = re.compile(r" (?=\S)")    # a pre-token starts here, whatever stands before
 
 
@@ -39,25 +37,6 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
-class Cache:
-    """A dictionary of bounded size: two generations, the older one is dropped when the younger one is full."""
-
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size // 2, {}, {}
-
-    def get(self, key: str) -> list[int] | None:
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.put(key, found)
-        return found
-
-    def put(self, key: str, value: list[int]) -> None:
-        if len(key) <= CACHE_CHARS:
-            if len(self.young) >= self.size:
-                self.old, self.young = self.young, {}
-            self.young[key] = value
-
-
 class ByteBpe:
     """Encoder and decoder of one byte-level BPE file in the tokenizers library's JSON format."""
 
@@ -67,7 +46,8 @@ class ByteBpe:
         symbols = byte_symbols()
         to_byte = {c: bytes([b]) for b, c in enumerate(symbols)}
         vocab = spec["model"]["vocab"]
-        self.symbol_ids = {c: vocab[c] for c in symbols}
+        self.byte_ids = [vocab[c] for c in symbols]
+        self.to_latin = {ord(c): b for b, c in enumerate(symbols)}
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         self.pairs = [(vocab[a], vocab[b]) for a, b in merges]
         self.merged = [vocab[a + b] for a, b in merges]
@@ -81,9 +61,9 @@ class ByteBpe:
         self.split = ByteLevel(add_prefix_space=False, use_regex=True)    # the published split into pre-tokens
         self.tokens, self.words = Cache(CACHE_SIZE), Cache(CACHE_SIZE)
 
-    def merge(self, token: str) -> list[int]:
-        """Ids of one pre-token, given in the vocabulary's symbols for bytes."""
-        ids = list(map(self.symbol_ids.__getitem__, token))
+    def merge(self, token: bytes) -> list[int]:
+        """Ids of one pre-token."""
+        ids = list(map(self.byte_ids.__getitem__, token))
         rank, pairs, merged = self.rank, self.pairs, self.merged
         # a queue entry is (rank, position) in one integer
         queue = [(r << 32) | i for i, r in enumerate(map(rank.get, zip(ids, ids[1:]))) if r is not None]
@@ -109,17 +89,26 @@ class ByteBpe:
                 heappush(queue, (r << 32) | p)
         return [x for x in ids if x >= 0]
 
-    def pretokens(self, text: str) -> list[int]:
-        out: list[int] = []
-        for token, _ in self.split.pre_tokenize_str(text):
-            ids = self.tokens.get(token)
-            if ids is None:
-                ids = self.merge(token)
-                self.tokens.put(token, ids)
-            out += ids
-        return out
-
-    def plain(self, text: str) -> list[int]:
+    def token(self, token: bytes) -> bytes:
+        ids = self.tokens.get(token)
+        if ids is None:
+            ids = array("I", self.merge(token)).tobytes()
+            self.tokens.put(token, ids)
+        return ids
+
+    def pretokens(self, text: str) -> bytes:
+        return b"".join([self.token(symbols.translate(self.to_latin).encode("latin-1"))
+                         for symbols, _ in self.split.pre_tokenize_str(text)])
+
+    def word(self, word: str) -> bytes:
+        """Ids of a space and a word; letters with stops behind them are the common case and split as one would think."""
+        letters = word.rstrip(".,")
+        if not letters.isalpha():
+            return self.pretokens(" " + word)
+        ids = self.token(b" " + letters.encode())
+        return ids + self.token(word[len(letters):].encode()) if len(letters) < len(word) else ids
+
+    def plain(self, text: str) -> bytes:
         """Ids of a text without special tokens, cut before each word so that whole words can be remembered."""
         pieces = BEFORE_WORD.split(text)
         pieces[0], first = "", pieces[0]
@@ -128,18 +117,18 @@ class ByteBpe:
         for i in [i for i, ids in enumerate(found) if ids is None]:
             ids = self.words.get(pieces[i])
             if ids is None:
-                ids = self.pretokens(" " + pieces[i])
+                ids = self.word(pieces[i])
                 self.words.put(pieces[i], ids)
             found[i] = ids
-        return list(chain.from_iterable(found))
+        return b"".join(found)
 
     def encode(self, text: str) -> list[int]:
         if not any(s in text for s in self.special):
-            return self.plain(text)
-        out: list[int] = []
+            return array("I", self.plain(text)).tolist()
+        out = array("I")
         for part in self.at_special.split(text):
-            out += [self.special[part]] if part in self.special else self.plain(part)
-        return out
+            out.frombytes(array("I", [self.special[part]]).tobytes() if part in self.special else self.plain(part))
+        return out.tolist()
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
