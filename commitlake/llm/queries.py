@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import bpe, fingerprint, lm, minhash, mixing, pii, quality, sharding, tokenfile
+from commitlake.llm import bpe, fingerprint, lm, minhash, mixing, pii, quality, sharding, suffix, tokenfile
 from commitlake.llm.common import documents, scratch_path
 from commitlake.llm.oracle import ORACLE_SQL
 
@@ -23,6 +23,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(docs, weights)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup_table(documents(spark, sf_dir))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(documents(spark, sf_dir))
 
@@ -60,6 +64,6 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_mixing, op4_bpe, op5_pii, op6_token_files, op7_sharding, op8_lm_scoring,
-                          op9_minhash, op10_fingerprints)
+    f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_mixing, op4_bpe, op5_pii, op6_token_files, op7_sharding,
+                          op8_lm_scoring, op9_minhash, op10_fingerprints)
 }
