@@ -56,7 +56,9 @@ def test_exact_border_of_the_length(spark):
     check(spark, texts)
 
 
-def test_near_copies_and_a_hot_passage(spark):
+@pytest.mark.parametrize("hot", [4, 5000])
+def test_near_copies_and_a_hot_passage(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix, "HOT", hot)
     rng = random.Random(5)
     base = prose(rng, 1800, "abcdefghij ")
     texts = []
@@ -82,7 +84,8 @@ def test_buckets_that_cut_through_groups():
         low, high, borders = {}, {}, []
         for a, b in zip([0, *cuts], [*cuts, len(rows)]):
             part = rows[a:b]
-            for s1, s2, lo, hi, w1, w2, d in suffix.sort_bucket([x for _, x in part], [x for x, _ in part], np.ones(len(part))):
+            for s1, s2, lo, hi, w1, w2, d in suffix.sort_bucket([x for _, x in part], [x for x, _ in part], np.ones(len(part)),
+                                                                     np.ones(len(part), bool)):
                 if d is None:
                     low[s1, s2], high[s1, s2] = min(low.get((s1, s2), 999), lo), max(high.get((s1, s2), -1), hi)
                 else:
