@@ -314,74 +314,82 @@ def _pct(n: str, d: str) -> str:
     return _round2(f"100.0::DOUBLE * (CAST({n} AS DOUBLE) / NULLIF({d}, 0))")
 
 
+# Weekend days (1 = Sunday), business hours (UTC), commit classes with a counter, activity classes.
+WEEKEND_DAYS = "(1, 7)"
+BUSINESS_HOURS = "9 AND 17"
+COUNTED_KINDS = ["fix", "feature", "docs", "refactor", "test", "chore", "performance", "other"]
+RECENCY_DAYS = [30, 90, 180, 365]
+ACTIVE_DAY_WINDOWS = [30, 90, 365]
+ACTIVITY = [(30, "Very Active"), (90, "Active"), (180, "Moderately Active"), (365, "Less Active")]
+
+
 def committers_cte(stg: str) -> str:
-    """The committers mart as DuckDB SQL: one aggregate pass per grain, QUALIFY for the per-author picks."""
-    kinds = ["fix", "feature", "docs", "refactor", "test", "chore", "performance", "other"]
+    """The committers mart as DuckDB SQL.
+
+    ``counted`` counts the commits of each author once per value of six columns (grouping sets); ``of_values`` reads
+    every distinct count, day figure and most frequent value off these counts. A row belongs to the column whose
+    ``grouping`` is 0, so a NULL value is a counted value like any other.
+    """
+    kinds = COUNTED_KINDS
+
+    def total(condition: str, name: str) -> str:
+        return f"CAST(coalesce(sum(n) FILTER ({condition}), 0) AS BIGINT) AS {name}"
+
     per_kind = ",\n        ".join(
         f"CAST(count(*) FILTER (commit_type = '{k}') AS BIGINT) AS {k}_commits" for k in kinds)
     recency = ",\n        ".join(
-        f"CAST(count(*) FILTER (commit_timestamp >= {_cut(d)}) AS BIGINT) AS commits_last_{d}_days"
-        for d in (30, 90, 180, 365))
+        f"CAST(count(*) FILTER (commit_timestamp >= {_cut(d)}) AS BIGINT) AS commits_last_{d}_days" for d in RECENCY_DAYS)
     recent_days = ",\n        ".join(
-        f"CAST(count(DISTINCT commit_date) FILTER (commit_timestamp >= {_cut(d)}) AS BIGINT) AS active_days_last_{d}"
-        for d in (30, 90, 365))
+        f"CAST(count(commit_date) FILTER (of_date AND latest >= {_cut(d)}) AS BIGINT) AS active_days_last_{d}"
+        for d in ACTIVE_DAY_WINDOWS)
+    status = " ".join(f"WHEN commits_last_{d}_days > 0 THEN '{label}'" for d, label in ACTIVITY)
+    values = ["git_author_email", "commit_hour", "commit_day_of_week", "commit_date", "repo", "pull_request_number"]
+    flags = ["of_email", "of_hour", "of_dow", "of_date", "of_repo", "of_pr"]
+    sets = ", ".join(f"(github_author_id, {v})" for v in values)
+    is_of = ", ".join(f"grouping({v}) = 0 AS {f}" for v, f in zip(values, flags))
     return f"""
     authored AS (SELECT * FROM ({stg}) AS s WHERE github_author_id IS NOT NULL),
-    agg AS (
+    whole AS (
       SELECT github_author_id AS committer_id,
-        bool_or(coalesce(github_author_is_site_admin, FALSE)) AS is_site_admin,
         CAST(count(*) AS BIGINT) AS total_commits,
-        CAST(count(DISTINCT repo) AS BIGINT) AS repos_contributed_to,
-        CAST(count(DISTINCT commit_date) AS BIGINT) AS active_days,
-        min(commit_timestamp) AS first_commit_at,
-        max(commit_timestamp) AS last_commit_at,
+        bool_or(coalesce(github_author_is_site_admin, FALSE)) AS is_site_admin,
+        min(commit_timestamp) AS first_commit_at, max(commit_timestamp) AS last_commit_at,
         {per_kind},
         CAST(count(*) FILTER (coalesce(is_verified, FALSE)) AS BIGINT) AS verified_commits,
         CAST(count(*) FILTER (coalesce(is_merge_commit, FALSE)) AS BIGINT) AS merge_commits,
         CAST(count(pull_request_number) AS BIGINT) AS pr_commits,
-        CAST(count(DISTINCT pull_request_number) AS BIGINT) AS unique_prs,
         {recency},
-        {recent_days},
-        CAST(count(*) FILTER (commit_day_of_week = 1 OR commit_day_of_week = 7) AS BIGINT) AS weekend_commits,
-        CAST(count(*) FILTER (commit_day_of_week >= 2 AND commit_day_of_week <= 6) AS BIGINT) AS weekday_commits,
-        CAST(count(*) FILTER (commit_hour >= 9 AND commit_hour <= 17) AS BIGINT) AS business_hours_commits,
-        CAST(count(*) FILTER (commit_hour NOT BETWEEN 9 AND 17) AS BIGINT) AS off_hours_commits
+        arg_max({{'github_login': github_author_login, 'committer_name': git_author_name,
+                  'avatar_url': github_author_avatar_url, 'profile_url': github_author_profile_url,
+                  'account_type': github_author_type}},
+                row(coalesce(commit_timestamp, TIMESTAMP '0001-01-01'), sha)) AS profile
       FROM authored GROUP BY github_author_id),
-    top_email AS (
-      SELECT github_author_id AS committer_id, git_author_email AS committer_email
-      FROM (SELECT github_author_id, git_author_email, count(*) AS uses FROM authored
-            WHERE git_author_email IS NOT NULL GROUP BY ALL) AS u
-      QUALIFY row_number() OVER (PARTITION BY github_author_id ORDER BY uses DESC, git_author_email) = 1),
-    newest AS (
-      SELECT github_author_id AS committer_id, github_author_login AS github_login, git_author_name AS committer_name,
-        github_author_avatar_url AS avatar_url, github_author_profile_url AS profile_url,
-        github_author_type AS account_type
-      FROM authored
-      QUALIFY row_number() OVER (PARTITION BY github_author_id ORDER BY commit_timestamp DESC NULLS LAST, sha DESC) = 1),
-    top_hour AS (
-      SELECT github_author_id AS committer_id, commit_hour AS most_active_hour
-      FROM (SELECT github_author_id, commit_hour, count(*) AS hits FROM authored GROUP BY ALL) AS h
-      QUALIFY row_number() OVER (PARTITION BY github_author_id ORDER BY hits DESC, commit_hour NULLS FIRST) = 1),
-    top_day AS (
-      SELECT github_author_id AS committer_id, commit_day_of_week AS most_active_day_of_week
-      FROM (SELECT github_author_id, commit_day_of_week, count(*) AS hits FROM authored GROUP BY ALL) AS h
-      QUALIFY row_number() OVER (PARTITION BY github_author_id
-                                 ORDER BY hits DESC, commit_day_of_week NULLS FIRST) = 1),
-    per_day AS (
-      SELECT github_author_id AS committer_id, avg(hits) AS avg_commits_per_active_day,
-        CAST(max(hits) AS BIGINT) AS max_commits_in_day
-      FROM (SELECT github_author_id, commit_date, count(*) AS hits FROM authored GROUP BY ALL) AS d
-      GROUP BY github_author_id),
+    counted AS (
+      SELECT github_author_id, {", ".join(values)}, {is_of}, count(*) AS n, max(commit_timestamp) AS latest
+      FROM authored GROUP BY GROUPING SETS ({sets})),
+    of_values AS (
+      SELECT github_author_id AS committer_id,
+        arg_min(git_author_email, row(-n, git_author_email)) FILTER (of_email AND git_author_email IS NOT NULL)
+          AS committer_email,
+        nullif(arg_min(coalesce(commit_hour, -1), row(-n, coalesce(commit_hour, -1))) FILTER (of_hour), -1)
+          AS most_active_hour,
+        nullif(arg_min(coalesce(commit_day_of_week, -1), row(-n, coalesce(commit_day_of_week, -1))) FILTER (of_dow), -1)
+          AS most_active_day_of_week,
+        CAST(count(repo) FILTER (of_repo) AS BIGINT) AS repos_contributed_to,
+        CAST(count(pull_request_number) FILTER (of_pr) AS BIGINT) AS unique_prs,
+        CAST(count(commit_date) FILTER (of_date) AS BIGINT) AS active_days,
+        {recent_days},
+        avg(n) FILTER (of_date) AS avg_commits_per_active_day,
+        CAST(max(n) FILTER (of_date) AS BIGINT) AS max_commits_in_day,
+        {total(f"of_dow AND commit_day_of_week IN {WEEKEND_DAYS}", "weekend_commits")},
+        {total(f"of_dow AND commit_day_of_week NOT IN {WEEKEND_DAYS}", "weekday_commits")},
+        {total(f"of_hour AND commit_hour BETWEEN {BUSINESS_HOURS}", "business_hours_commits")},
+        {total(f"of_hour AND commit_hour NOT BETWEEN {BUSINESS_HOURS}", "off_hours_commits")}
+      FROM counted GROUP BY github_author_id),
     joined AS (
-      SELECT a.*, e.committer_email, n.github_login, n.committer_name, n.avatar_url, n.profile_url, n.account_type,
-        th.most_active_hour, td.most_active_day_of_week, pd.avg_commits_per_active_day, pd.max_commits_in_day,
-        CAST(({_unix('a.last_commit_at')} - {_unix('a.first_commit_at')}) // 86400 AS BIGINT) AS days_active_span
-      FROM agg AS a
-      LEFT JOIN top_email AS e USING (committer_id)
-      LEFT JOIN newest AS n USING (committer_id)
-      LEFT JOIN top_hour AS th USING (committer_id)
-      LEFT JOIN top_day AS td USING (committer_id)
-      LEFT JOIN per_day AS pd USING (committer_id)),
+      SELECT whole.* EXCLUDE (profile), unnest(profile), of_values.* EXCLUDE (committer_id),
+        CAST(({_unix('last_commit_at')} - {_unix('first_commit_at')}) // 86400 AS BIGINT) AS days_active_span
+      FROM whole JOIN of_values USING (committer_id)),
     committers AS (
       SELECT committer_id, github_login, committer_name, committer_email, avatar_url, profile_url, account_type,
         is_site_admin, total_commits, repos_contributed_to, active_days, days_active_span, first_commit_at,
@@ -392,9 +400,7 @@ def committers_cte(stg: str) -> str:
         business_hours_commits, off_hours_commits, most_active_hour, most_active_day_of_week,
         avg_commits_per_active_day, max_commits_in_day,
         CAST(({_unix(AS_OF)} - {_unix('last_commit_at')}) // 86400 AS BIGINT) AS days_since_last_commit,
-        CASE WHEN commits_last_30_days > 0 THEN 'Very Active' WHEN commits_last_90_days > 0 THEN 'Active'
-             WHEN commits_last_180_days > 0 THEN 'Moderately Active'
-             WHEN commits_last_365_days > 0 THEN 'Less Active' ELSE 'Inactive' END AS activity_status,
+        CASE {status} ELSE 'Inactive' END AS activity_status,
         {_pct('fix_commits', 'total_commits')} AS fix_commits_pct,
         {_pct('feature_commits', 'total_commits')} AS feature_commits_pct,
         {_pct('docs_commits', 'total_commits')} AS docs_commits_pct,
