@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# RFC 3339: date 'T' time, optional fraction of any length, offset required (Z or +hh:mm).
+# RFC 3339: date 'T' time, optional fraction of 1 to 9 digits, offset required (Z or +hh:mm).
 RFC3339_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][.SSSSSS][.SSS]XXX"
 
 

@@ -25,14 +25,18 @@ OTHER = "other"
 PR_REFERENCE = "#([0-9]+)"
 
 
-def commit_type(message: Column) -> Column:
+def commit_type(message: Column, lenient: bool = False) -> Column:
     """Classify a commit message.
 
+    ``lenient=True`` also takes the usual form of conventional commits, in which white space follows the colon and
+    ``!`` may stand before it (``feat: x``, ``fix(api)!: y``); the default leaves these in ``other`` like the source.
+
     The anchored prefixes are mutually exclusive, so one alternation regex
     (one scan of the message) is equivalent to the first-match CASE chain.
     """
     alternation = "|".join(prefix for prefix, _ in COMMIT_TYPES)
-    prefix = F.regexp_extract(F.lower(message), f"^({alternation})[(:][0-9a-z_]", 1)
+    ending = r"(?:[(:][0-9a-z_]|(?:\([^)]*\))?!?:)" if lenient else "[(:][0-9a-z_]"
+    prefix = F.regexp_extract(F.lower(message), f"^({alternation}){ending}", 1)
     mapping = F.create_map(*[F.lit(x) for pair in COMMIT_TYPES for x in pair])
     return F.coalesce(mapping[prefix], F.lit(OTHER))
 

@@ -156,6 +156,7 @@ def author_profile(commits: DataFrame) -> DataFrame:
     return commits.groupBy(AUTHOR).agg(latest.alias("p")).select(AUTHOR, *[c(f"p.{x}").alias(x) for x in PROFILE])
 
 
+# The columns of the mart, in the order of its contract.
 FINAL_COLUMNS = [
     "committer_id", "github_login", "committer_name", "committer_email", "avatar_url", "profile_url",
     "account_type", "is_site_admin", "total_commits", "repos_contributed_to", "active_days",

@@ -9,6 +9,7 @@ from commitlake.functions.text import full_repo_name
 
 c = F.col
 
+# The columns of each mart, in the order of its contract.
 REPOSITORY_COLUMNS = [
     "repo_sk", "repo_id", "node_id", "org", "repo", "full_name", "full_repo_name", "repo_github_url",
     "git_url", "ssh_url", "clone_url", "homepage_url", "is_private", "is_fork", "is_archived", "is_disabled",
@@ -60,7 +61,7 @@ def branches_mart(stg: DataFrame, built_at: Column | None = None) -> DataFrame:
 
 
 def commits_mart(stg: DataFrame, built_at: Column | None = None) -> DataFrame:
-    """Commit facts; loaded incrementally on ``commit_timestamp`` (see ``build.commits_incremental``)."""
+    """Commit facts; loaded incrementally on ``commit_timestamp`` (see ``build.build_all``)."""
     return stg.select(*COMMIT_COLUMNS, full_repo_name(c("org"), c("repo")).alias("full_repo_name"),
                       _built(built_at))
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from commitlake.functions import (
     json_query, json_value, parse_rfc3339, safe_bool, safe_int,
 )
+from commitlake.functions.text import commit_type
 from commitlake.operators.dedupe import keep_latest
 from commitlake.operators.incremental import VersionedTable, incremental_run, upsert, watermark_filter
 from commitlake.operators.modes import latest_by, mode_by
@@ -202,6 +203,13 @@ def q_stream_select(spark, sf):
     return out
 
 
+def q_property_select(spark, sf):
+    """Property-level selection: only matching payload properties are left, the others read as NULL."""
+    chosen = select_streams({"commits": fx.raw_commits(spark, sf)}, ["commits.sha", "commits.commit*"])
+    return parse_payload(chosen["commits"], COMMIT_FIELDS, keep=["_sdc_sequence"]).select(
+        "_sdc_sequence", "sha", "commit_message", "github_author_login")
+
+
 def q_json_value(spark, sf):
     raw = fx.raw_commits(spark, sf)
     return raw.select(
@@ -252,6 +260,10 @@ def q_full_repo_name(spark, sf):
     return m_commits(spark, sf).select("sha", "full_repo_name")
 
 
+def q_commit_type_lenient(spark, sf):
+    return s_commits(spark, sf).select("sha", commit_type(c("commit_message"), lenient=True).alias("commit_type"))
+
+
 def q_commit_type(spark, sf):
     return s_commits(spark, sf).select("sha", "commit_message", "commit_type")
 
@@ -469,6 +481,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jsonl_roundtrip": q_jsonl_roundtrip,
     "raw_view": q_raw_view,
     "stream_select": q_stream_select,
+    "property_select": q_property_select,
     # scalar functions and keys
     "json_value": q_json_value,
     "json_query": q_json_query,
@@ -478,6 +491,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coalesce": q_coalesce,
     "full_repo_name": q_full_repo_name,
     "commit_type": q_commit_type,
+    "commit_type_lenient": q_commit_type_lenient,
     "pr_number": q_pr_number,
     "date_dims": q_date_dims,
     "merge_flag": q_merge_flag,

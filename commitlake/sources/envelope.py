@@ -6,8 +6,10 @@ import fnmatch
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from commitlake.functions.casts import parse_rfc3339, safe_bool, safe_int
-from commitlake.functions.jsonpath import scalar_text
+from commitlake.functions.jsonpath import scalar_leaf
 from commitlake.sources.schemas import ENVELOPE, SDC_COLUMNS, STREAM_FIELDS, payload_schema
 
 
@@ -39,7 +41,7 @@ def land_envelope(records: DataFrame, payload: list[Column] | Column, extracted_
 
 
 def write_raw(raw: DataFrame, path: str, mode: str = "append") -> None:
-    """Parquet landing of an envelope stream (zstd, plain-encoded payload text)."""
+    """Parquet landing of an envelope stream (plain-encoded payload text)."""
     from commitlake.operators.incremental import parquet_options
     raw.write.mode(mode).options(**parquet_options(raw.columns)).parquet(path)
 
@@ -72,15 +74,13 @@ def _typed(text: Column, kind: str) -> Column:
 
 def parse_payload(raw: DataFrame, fields, keep: list[str] | None = None, strict: bool = True,
                   data_col: str = "data") -> DataFrame:
-    """Flatten the JSON payload into typed columns with ONE ``from_json`` per row.
+    """Flatten the JSON payload into typed columns; each document is tokenised once.
 
     ``fields`` is a list of (column, path, cast kind) (see ``schemas``). Leaves
     are read as strings (the fast Jackson path). With ``strict=True`` the
     result equals scalar-only extraction (``JSON_VALUE``: objects and arrays
-    give NULL): a leaf whose text starts with ``{`` or ``[`` is either a
-    container or a string such as ``"[build] jar"``, and only for such leaves
-    the value is re-read as VARIANT to tell the two apart. The re-read sits in
-    a conditional branch, so it runs only for those rows.
+    give NULL): only for a leaf whose text starts with ``{`` or ``[`` the value
+    is read again to tell a container from a string such as ``"[build] jar"``.
     """
     keep = [c for c in raw.columns if c != data_col] if keep is None else keep
     parsed = raw.select(*keep, F.col(data_col).alias("_raw"),
@@ -91,11 +91,10 @@ def parse_payload(raw: DataFrame, fields, keep: list[str] | None = None, strict:
         # Container text under an int/bool/timestamp leaf already fails its safe cast → NULL,
         # so only string leaves need the exact container check.
         if strict and kind == "s":
-            suspicious = text.startswith("{") | text.startswith("[")
-            exact = scalar_text(F.try_variant_get(F.try_parse_json(F.col("_raw")), f"$.{path}", "variant"))
-            text = F.when(suspicious, exact).otherwise(text)
+            text = scalar_leaf(text, F.col("_raw"), path)
         out.append(_typed(text, kind).alias(name))
-    return parsed.select(*keep, *out)
+    # Filters on the typed columns stop at the generator: below it they would be evaluated on the document again.
+    return parsed.select(F.inline(F.array(F.struct(*keep, *out))))
 
 
 def raw_view(spark: SparkSession, raw: DataFrame, stream: str, name: str | None = None,
@@ -109,9 +108,9 @@ def raw_view(spark: SparkSession, raw: DataFrame, stream: str, name: str | None
 def select_streams(catalog: dict[str, DataFrame], patterns: list[str]) -> dict[str, DataFrame]:
     """Apply ``stream.property`` selection patterns (``commits.*``) to a catalog of raw streams.
 
-    A stream is kept when any pattern's stream part matches its name; with
-    property parts other than ``*`` the typed payload columns are restricted
-    to the matching names (envelope columns always stay).
+    A stream is kept when any pattern's stream part matches its name. With
+    property parts other than ``*``, the payload keeps the top-level properties
+    whose names match; the envelope columns always stay.
     """
     out: dict[str, DataFrame] = {}
     for stream, df in catalog.items():
@@ -122,7 +121,15 @@ def select_streams(catalog: dict[str, DataFrame], patterns: list[str]) -> dict[s
         if "*" in props:
             out[stream] = df
         else:
-            cols = [c for c in df.columns
-                    if c.startswith("_sdc_") or c == "data" or any(fnmatch.fnmatchcase(c, p) for p in props)]
-            out[stream] = df.select(*cols)
+            out[stream] = _with_properties(df, stream, props)
     return out
+
+
+def _with_properties(raw: DataFrame, stream: str, patterns: list[str]) -> DataFrame:
+    """``raw`` with its payload, and any typed columns beside it, cut down to the properties that match a pattern."""
+    raw = raw.select(*[c for c in raw.columns if c.startswith("_sdc_") or c == "data"
+                       or any(fnmatch.fnmatchcase(c, p) for p in patterns)])
+    whole = payload_schema(STREAM_FIELDS[stream])
+    kept = T.StructType([f for f in whole.fields if any(fnmatch.fnmatchcase(f.name, p) for p in patterns)])
+    data = F.to_json(F.from_json("data", kept)) if kept.fields else F.lit("{}")
+    return raw.withColumn("data", F.when(F.col("data").isNotNull(), data))

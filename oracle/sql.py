@@ -115,14 +115,16 @@ def typed_commits(sha_prefix: str = "c", pr: bool = False, versions: str = "late
     FROM ({rows}) AS r"""
 
 
-def commit_type_sql(msg: str) -> str:
-    """The classifier with the source's own regex (DuckDB uses the same RE2 dialect)."""
+def commit_type_sql(msg: str, lenient: bool = False) -> str:
+    """The classifier with the source's own regex (DuckDB uses the same RE2 dialect); the lenient form also takes
+    an optional scope and ``!`` before a colon, whatever follows it."""
     # Prefix → class in first-match order; the pattern is prefix, '(' or ':', word boundary.
     pairs = [("feat", "feature"), ("fix", "fix"), ("docs", "docs"), ("refactor", "refactor"),
              ("test", "test"), ("chore", "chore"), ("perf", "performance"), ("style", "style"),
              ("ci", "ci"), ("build", "build")]
+    ending = "((\\(|:)\\b|(\\([^)]*\\))?!?:)" if lenient else "(\\(|:)\\b"
     whens = "\n".join(
-        f"        WHEN regexp_matches(lower({msg}), '^{p}(\\(|:)\\b') THEN '{t}'" for p, t in pairs)
+        f"        WHEN regexp_matches(lower({msg}), '^{p}{ending}') THEN '{t}'" for p, t in pairs)
     return f"CASE\n{whens}\n        ELSE 'other' END"
 
 
@@ -581,6 +583,8 @@ ORACLE_SQL: dict[str, str] = {
                         "@_sdc_extracted_at"),
     "stream_select": f"""SELECT 'commits' AS stream, CAST(count(*) AS BIGINT) AS n_records FROM ({typed_commits('c', False, 'all')}) AS a
         UNION ALL SELECT 'branches' AS stream, CAST(count(*) AS BIGINT) AS n_records FROM ({typed_branches('all')}) AS b""",
+    "property_select": project(typed_commits("c", False, "all"), "_sdc_sequence, sha, commit_message, "
+                               "CAST(NULL AS VARCHAR) AS github_author_login"),
     "json_value": project(typed_commits("c", False, "all"), "_sdc_sequence, sha, commit_message, "
                           "CAST(NULL AS VARCHAR) AS commit_object, github_author_login AS author_login"),
     "json_query": project(typed_commits("c", False, "all"), "_sdc_sequence, tree_sha, "
@@ -594,6 +598,7 @@ ORACLE_SQL: dict[str, str] = {
     "coalesce": project(stg_repositories(), "repo_id, repo, owner_is_site_admin, repo_sk"),
     "full_repo_name": project(STG_C, "sha, org || '/' || repo AS full_repo_name"),
     "commit_type": project(STG_C, "sha, commit_message, commit_type"),
+    "commit_type_lenient": project(STG_C, f"sha, {commit_type_sql('commit_message', lenient=True)} AS commit_type"),
     "pr_number": project(STG_C, "sha, pull_request_number"),
     "date_dims": project(STG_C, f"sha, {DIMS}"),
     "merge_flag": project(STG_C, "sha, git_author_email, git_committer_email, is_merge_commit"),

@@ -23,6 +23,17 @@ def one(spark, expr, value, schema="v string"):
     ('{"a":true}', "true"),
     ('{"a":null}', None),
     ('{"b":1}', None),
+    ('{"a":1.0}', "1.0"),
+    ('{"a":-3}', "-3"),
+    ('{"a":1,"a":2}', "2"),
+    ('{"a":"[x] y","b":1,"b":2}', "[x] y"),
+    ('{"a":[1],"b":1,"b":2}', None),
+    ('{"a":[]}', None),
+    ('{"a":{}}', None),
+    ('{"a":"[1, 2]"}', "[1, 2]"),
+    ('{"a":"{\\"x\\":1}"}', '{"x":1}'),
+    ('{"a":""}', ""),
+    ('{"a":', None),
 ])
 def test_strict_scalar(spark, payload, expected):
     df = spark.createDataFrame([(payload,)], "data string")
@@ -100,3 +111,20 @@ def test_greatest_strict_keeps_null(spark):
 def test_typed_leaves_reject_containers(spark, payload, kind, expected):
     df = spark.createDataFrame([(payload,)], "data string")
     assert parse_payload(df, [("a", "a", kind)], keep=[]).first()["a"] == expected
+
+
+@pytest.mark.parametrize("message,strict,lenient", [
+    ("feat: add", "other", "feature"), ("feat:add", "feature", "feature"), ("fix(api)!: y", "fix", "fix"),
+    ("feat!: x", "other", "feature"), ("docs(a b): z", "docs", "docs"), ("build (x)", "other", "other"),
+    ("feature: x", "other", "other"), ("Perf: up", "other", "performance"), (None, "other", "other"),
+])
+def test_lenient_classifier(spark, message, strict, lenient):
+    assert one(spark, commit_type, message) == strict
+    assert one(spark, lambda m: commit_type(m, lenient=True), message) == lenient
+
+
+@pytest.mark.parametrize("payload", ['{"a":1.0}', '{"a":1.5}', '{"a":7}', '{"a":"7"}', '{"a":1,"a":2}', '{"a":1e2}'])
+def test_safe_int_is_the_same_on_both_routes(spark, payload):
+    df = spark.createDataFrame([(payload,)], "data string")
+    assert parse_payload(df, [("a", "a", "i")], keep=[]).first()["a"] == df.select(
+        safe_int(json_value("data", "$.a")).alias("a")).first()["a"]

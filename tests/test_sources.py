@@ -8,12 +8,13 @@ from commitlake.sources.schemas import ENVELOPE
 
 
 def test_select_streams_patterns(spark):
-    df = spark.createDataFrame([("{}", 1, "x", "y")], "data string, _sdc_sequence long, sha string, org string")
+    df = spark.createDataFrame([('{"sha":"x","org":"y","commit":{"message":"m"}}', 1, "x", "y")], "data string, _sdc_sequence long, sha string, org string")
     catalog = {"commits": df, "branches": df, "releases": df}
     out = select_streams(catalog, ["commits.sha", "branch*.*"])
     assert set(out) == {"commits", "branches"}
     assert out["commits"].columns == ["data", "_sdc_sequence", "sha"]
-    assert out["branches"].columns == df.columns
+    assert out["commits"].first()["data"] == '{"sha":"x"}'
+    assert out["branches"].columns == df.columns and out["branches"].first()["data"] == df.first()["data"]
 
 
 def test_land_and_jsonl_roundtrip(spark):
