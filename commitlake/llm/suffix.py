@@ -7,13 +7,12 @@ else too is found, over all texts, same text included.
    once in the corpus (counted with map-side combine) cannot lie in a repeated string and are dropped.
 2. Suffixes. An anchor's suffix is cut at ``LENGTH`` bytes and carries the bytes before it, reversed. Equal suffixes
    are combined before the sort, so a passage in a third of all texts is one row.
-3. Sort. Splitters sampled from the suffixes range-partition them by their leading bytes. Each bucket is sorted locally
-   by multikey quicksort on 8-byte words (only ties look at the next word), which also yields the common prefix lengths
+3. Sort. Splitters sampled from the suffixes range-partition them by their leading bytes: by the first ``GRAM`` bytes,
+   and by all of them where more than ``HOT`` suffixes start alike. Each bucket is sorted locally by multikey quicksort on 8-byte words (only ties look at the next word), which also yields the common prefix lengths
    of neighbours, once for the suffixes and once for the reversed bytes before them. A string that starts d bytes
    before an anchor is repeated if two rows share LENGTH - d bytes of suffix and d bytes before it.
-4. Borders. Suffixes equal to a bucket's first or last row up to LENGTH - d bytes may go on in another bucket; a hash
-   of the string is handed on for these and counted across buckets. The hot prefix that fills whole buckets is
-   thereby split over them.
+4. Borders. Only such hot groups can reach over a bucket's border: for their suffixes that equal the bucket's first or
+   last one up to LENGTH - d bytes, a hash of the string is handed on and counted across buckets.
 
 Equal texts are one text here; a text that occurs twice repeats as a whole. Texts are known by a 64-bit hash.
 
@@ -37,6 +36,7 @@ from commitlake.llm.common import materialise, prepare
 LENGTH = 400
 GRAM = 200
 WINDOW = LENGTH - GRAM + 1
+HOT = 5000                 # suffixes with the same first bytes that need not share a bucket
 PART = 1 << 20             # bytes of a text that are hashed at a time
 _PLACE = np.uint64(PART - 1)
 
@@ -114,7 +114,7 @@ def suffix_hash(left: bytes, right: bytes) -> tuple[int, int]:
 BUCKET = "s1 long, s2 long, low int, high int, w1 long, w2 long, d int"
 
 
-def sort_bucket(lefts: list[bytes], rights: list[bytes], counts: np.ndarray) -> list[tuple]:
+def sort_bucket(lefts: list[bytes], rights: list[bytes], counts: np.ndarray, hot: np.ndarray) -> list[tuple]:
     """Rows of ``BUCKET`` for one bucket of distinct suffixes: the least and greatest d at which a string that starts
     d bytes before the anchor is repeated, and the strings that may go on in another bucket (w1, w2, d; with s1 where
     the bucket itself has no second one)."""
@@ -136,7 +136,7 @@ def sort_bucket(lefts: list[bytes], rights: list[bytes], counts: np.ndarray) ->
         h = LENGTH - d
         r_class[r_order] = np.cumsum(r_same < h)
         l_class[l_order] = np.cumsum(l_same < d)
-        at_border = (r_class == r_class[r_order[0]]) | (r_class == r_class[r_order[-1]])
+        at_border = hot & ((r_class == r_class[r_order[0]]) | (r_class == r_class[r_order[-1]]))
         sizes = np.bincount(r_class)
         own = np.flatnonzero((r_len >= h) & (l_len >= d) & ((sizes[r_class] > 1) | at_border))
         if not len(own):
@@ -156,7 +156,8 @@ def sort_bucket(lefts: list[bytes], rights: list[bytes], counts: np.ndarray) ->
 
 
 def _arrow(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(),
+             "boolean": pa.bool_()}
     fields = [f.split() for f in schema.split(", ")]
     columns = list(zip(*rows)) if rows else [()] * len(fields)
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)],
@@ -179,9 +180,10 @@ def find_repeats(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     found = materialise(texts.mapInArrow(find, "mark long, text_key long, place long"), "suffix-anchors")
     occurrence = F.xxhash64("text_key", "place")
-    repeated = found.groupBy("mark").agg(F.min(occurrence).alias("a"), F.max(occurrence).alias("b")).where("a < b")
-    kept = found.join(repeated.select("mark"), "mark", "left_semi").groupBy("text_key").agg(
-        F.collect_set("place").alias("places"))
+    repeated = found.groupBy("mark").agg(F.min(occurrence).alias("a"), F.max(occurrence).alias("b"),
+                                           (F.count(F.lit(1)) > HOT).alias("hot")).where("a < b")
+    kept = found.join(repeated.select("mark", "hot"), "mark").groupBy("text_key").agg(
+        F.collect_set(F.struct("place", "hot")).alias("places"))
     one_text = texts.groupBy("text_key").agg(F.any_value("t").alias("t"))
     marked = materialise(one_text.join(kept, "text_key"), "suffix-texts")
 
@@ -190,25 +192,26 @@ def find_repeats(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
             for batch in batches:
                 for key, text, places in zip(*(c for c in batch.columns)):
                     data, rows = text.as_py().encode(), []
-                    for p in places.as_py():
+                    for p, hot in map(dict.values, places.as_py()):
                         left, right = data[max(0, p - WINDOW + 1):p][::-1], data[p:p + LENGTH]
-                        rows.append((*suffix_hash(left, right), key.as_py(), p) if narrow else (right, left))
+                        rows.append((*suffix_hash(left, right), key.as_py(), p) if narrow else (right, left, hot))
                     yield _arrow(rows, NARROW if narrow else WIDE)
         return suffixes
 
     cuts = marked.select("text_key", "t", "places")
-    suffixes = cuts.mapInArrow(cut(False), WIDE).groupBy("right", "left").agg(F.count(F.lit(1)).alias("n"))
+    suffixes = cuts.mapInArrow(cut(False), WIDE).groupBy("right", "left", "hot").agg(F.count(F.lit(1)).alias("n"))
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lefts, rights, counts = [], [], []
+        rights, lefts, hot, counts = columns = [], [], [], []
         for batch in batches:
-            rights += batch.column(0).to_pylist()
-            lefts += batch.column(1).to_pylist()
-            counts += batch.column(2).to_pylist()
+            for column, values in zip(columns, batch.columns):
+                column += values.to_pylist()
         if rights:
-            yield _arrow(sort_bucket(lefts, rights, np.array(counts)), BUCKET)
+            yield _arrow(sort_bucket(lefts, rights, np.array(counts), np.array(hot)), BUCKET)
 
-    sorted_ = materialise(suffixes.repartitionByRange("right", "left").mapInArrow(sort, BUCKET), "suffix-sorted")
+    rest = F.when(F.col("hot"), F.struct("right", "left"))
+    sorted_ = materialise(suffixes.repartitionByRange(F.substring("right", 1, GRAM), rest).mapInArrow(sort, BUCKET),
+                          "suffix-sorted")
     at_border = sorted_.where("d IS NOT NULL")
     across = at_border.groupBy("w1", "w2", "d").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = at_border.where("s1 IS NOT NULL").join(across, ["w1", "w2", "d"], "left_semi").select(
@@ -221,7 +224,7 @@ def find_repeats(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 NARROW = "s1 long, s2 long, text_key long, place long"
-WIDE = "right binary, left binary"
+WIDE = "right binary, left binary, hot boolean"
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
