@@ -1,21 +1,28 @@
 """High-watermark incremental loads and key upserts on plain parquet.
 
-A table is a folder of immutable versions (``v=000001`` ...); a run writes
-the next version and readers pick the newest complete one. Overwriting the
-folder a DataFrame was read from would delete its own input, so versions
-are never rewritten in place.
+A table is a folder of immutable data folders (``v=000001`` ...) and a commit file per version that lists the files
+which make it up, with the maxima of the watermark columns. A merge finds the files that hold a key of the batch,
+rewrites these and leaves all others as they are; the new version lists old and new files together. Readers see the
+newest committed version, so a lost job leaves only files that no commit file names.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+import warnings
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_KEY_LIMIT = 2_000_000  # batch keys broadcast to the target scan below this row count
-NEAR_UNIQUE_SUFFIXES = ("sha", "_url", "_sk", "node_id", "commit_message", "data")
+from commitlake.operators.dedupe import keep_latest
+from commitlake.session import shared_dir
+
+# Text columns with about one value per row; author and owner URLs are not among them, they repeat and compress well.
+NEAR_UNIQUE_COLUMNS = {"sha", "commit_sha", "tree_sha", "node_id", "commit_message", "data", "commit_api_url",
+                       "commit_github_url", "comments_api_url", "tree_url", "repo_sk", "branch_sk", "pull_request_commit_sk"}
 
 
 PARQUET_CODEC = "snappy"   # zstd writes ~35 % smaller files (better for storage-bound clusters), reads slower here
@@ -24,68 +31,184 @@ PARQUET_CODEC = "snappy"   # zstd writes ~35 % smaller files (better for storage
 def parquet_options(columns: list[str], codec: str | None = None) -> dict[str, str]:
     """Writer options: codec, and plain (non-dictionary) encoding for near-unique text columns.
 
-    Dictionaries pay off for low-cardinality columns (org, repo, type, dates); for hashes, URLs,
+    Dictionaries pay off for low-cardinality columns (org, repo, type, dates); for hashes, commit URLs,
     keys and messages they are built and then abandoned, which measured as the largest part of
     the write cost (1.7 s with vs 0.6 s without for the sf0.1 staging commits).
     """
     opts = {"compression": codec or PARQUET_CODEC}
     for c in columns:
-        if c.endswith(NEAR_UNIQUE_SUFFIXES):
+        if c in NEAR_UNIQUE_COLUMNS:
             opts[f"parquet.enable.dictionary#{c}"] = "false"
     return opts
 
 
 class VersionedTable:
-    """Immutable-version parquet table under ``root`` (any Hadoop file system)."""
+    """Versioned parquet table under ``root`` (any Hadoop file system).
+
+    ``cluster_by``: columns by which each write is range-partitioned and sorted, so that a file covers a short range of
+    them, filters on them skip the other files and a merge of recent rows touches few files; end them with a unique
+    column, so that a frequent value is no range of its own. ``watermarks``: columns whose maxima are stored.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, cluster_by: list[str] | None = None,
+                 watermarks: list[str] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.cluster_by = cluster_by or []
+        self.watermarks = watermarks or []
+
+    # -- files and commits ---------------------------------------------------------------------------------------
+    def _path(self, name: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
 
     def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
-    def _listing(self) -> list[tuple[int, bool]]:
-        """(version, complete) for every version folder; complete = has ``_SUCCESS``."""
-        fs, jvm = self._fs()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        if not fs.exists(root):
-            return []
-        out = []
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            if name.startswith("v=") and name[2:].isdigit():
-                done = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-                out.append((int(name[2:]), done))
-        return sorted(out)
+        return self._path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _names(self, folder: str) -> list[str]:
+        fs, path = self._fs(), self._path(folder)
+        return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
 
     def versions(self) -> list[int]:
-        """Complete versions, oldest first (a folder left by a failed job is ignored)."""
-        return [v for v, done in self._listing() if done]
+        """Committed versions, oldest first."""
+        return [int(n[2:8]) for n in self._names(f"{self.root}/commits") if n.startswith("v=") and n.endswith(".json")]
 
     def path(self, version: int) -> str:
+        """The folder that a version's own files are written to."""
         return f"{self.root}/v={version:06d}"
 
+    def _next(self) -> int:
+        written = [int(n[2:]) for n in self._names(self.root) if n.startswith("v=") and n[2:].isdigit()]
+        return max([0, *written, *self.versions()]) + 1
+
+    def _manifest(self, version: int) -> dict:
+        stream = self._fs().open(self._path(f"{self.root}/commits/v={version:06d}.json"))
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def files(self, version: int | None = None) -> list[str]:
+        """The data files of a version (default: the newest), relative to the root."""
+        return list(self._manifest(version or self.versions()[-1])["files"])
+
+    def _commit(self, version: int, manifest: dict) -> None:
+        fs, final = self._fs(), f"{self.root}/commits/v={version:06d}.json"
+        stream = fs.create(self._path(final + ".tmp"), True)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+        if not fs.rename(self._path(final + ".tmp"), self._path(final)):
+            raise RuntimeError(f"another writer has committed {final}")
+
+    def folder(self) -> str:
+        """The one folder that holds the newest version; a version spread over several is written together first."""
+        folders = {f.rsplit("/", 1)[0] for f in self.files()}
+        if len(folders) > 1 or set(self._data_files(self.path(self.versions()[-1]))) != {
+                f.rsplit("/", 1)[-1] for f in self.files()}:
+            self.write(self.read())
+        return self.path(self.versions()[-1])
+
+    def _data_files(self, folder: str) -> list[str]:
+        return [n for n in self._names(folder) if n.endswith(".parquet")]
+
+    def vacuum(self, keep: int = 1) -> None:
+        """Delete the commit files of all but the ``keep`` newest versions and the data files that only they name."""
+        versions, fs = self.versions(), self._fs()
+        named = {f for v in versions[-keep:] for f in self.files(v)}
+        newest = versions[-1] if versions else 0
+        for v in versions[:-keep]:
+            fs.delete(self._path(f"{self.root}/commits/v={v:06d}.json"), False)
+        for folder in self._names(self.root):
+            if not (folder.startswith("v=") and int(folder[2:]) <= newest):
+                continue
+            for name in self._names(f"{self.root}/{folder}"):
+                if f"{folder}/{name}" not in named:
+                    fs.delete(self._path(f"{self.root}/{folder}/{name}"), False)
+            if not self._names(f"{self.root}/{folder}"):
+                fs.delete(self._path(f"{self.root}/{folder}"), True)
+
+    # -- reading and writing -------------------------------------------------------------------------------------
     def read(self) -> DataFrame | None:
         versions = self.versions()
-        return self.spark.read.parquet(self.path(versions[-1])) if versions else None
+        return self._read(self._manifest(versions[-1])) if versions else None
+
+    def _read(self, manifest: dict, files: list[str] | None = None) -> DataFrame:
+        schema = T.StructType.fromJson(manifest["schema"])
+        files = list(manifest["files"]) if files is None else files
+        if not files:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{f}" for f in files])
 
-    def write(self, df: DataFrame, sort_within: list[str] | None = None) -> DataFrame:
-        listing = self._listing()
-        target = self.path((listing[-1][0] + 1) if listing else 1)  # skip past incomplete folders too
-        out = df.sortWithinPartitions(*sort_within) if sort_within else df
-        out.write.mode("errorifexists").options(**parquet_options(df.columns)).parquet(target)
-        return self.spark.read.parquet(target)
+    def _write(self, df: DataFrame, kept: dict[str, dict], schema: T.StructType) -> DataFrame:
+        version = self._next()
+        folder = self.path(version)
+        by = self.cluster_by
+        out = df.repartitionByRange(*by).sortWithinPartitions(*by) if by else df
+        out.write.mode("errorifexists").options(**parquet_options(df.columns)).parquet(folder)
+        new = {f"v={version:06d}/{n}": {} for n in self._data_files(folder)}
+        if self.watermarks and new:                           # one row per new file, from the watermark columns alone
+            written = self.spark.read.schema(schema).parquet(folder)
+            high = [F.max(_plain(c, schema)).alias(c) for c in self.watermarks]
+            for r in written.groupBy(F.col("_metadata.file_name").alias("file_")).agg(*high).collect():
+                new[f"v={version:06d}/{r.file_}"] = {c: r[c] for c in self.watermarks}
+        manifest = {"files": {**kept, **new}, "schema": schema.jsonValue()}
+        self._commit(version, manifest)
+        return self._read(manifest)
+
+    def write(self, df: DataFrame) -> DataFrame:
+        """A new version that holds ``df`` only."""
+        return self._write(df, {}, df.schema)
+
+    def high_watermark(self, column: str):
+        """``MAX(column)`` of the newest version (timestamps as epoch microseconds), from the commit file if it is there."""
+        manifest = self._manifest(self.versions()[-1])
+        if column in self.watermarks:
+            stored = [f.get(column) for f in manifest["files"].values()]
+            return max((x for x in stored if x is not None), default=None)
+        return watermark_value(self._read(manifest), column)
+
+    def merge(self, batch: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+        """Insert ``batch``, whose rows replace those with their key; with ``order`` the first by it of the old row and
+        the batch's stays, whichever came first. ``batch`` should be a stored table, it is read several times.
+
+        Only the key columns of the table are scanned to find the files with a key of the batch. Their names, at most
+        one per file, come to the driver. The join strategy is left to Spark, which knows the batch's size in bytes.
+        """
+        manifest = self._manifest(self.versions()[-1])
+        current, schema = self._read(manifest), T.StructType.fromJson(manifest["schema"])
+        batch = batch.select(*schema.fieldNames())
+        batch_keys = batch.select(*keys).distinct()
+        touched: list[str] = []
+        if manifest["files"]:
+            places = current.select(*keys, F.col("_metadata.file_name").alias("file_"))
+            found = places.join(batch_keys, keys, "left_semi").select("file_").distinct().collect()
+            names = {r.file_ for r in found}                  # unique: a writer's job id is part of them
+            touched = [f for f in manifest["files"] if f.rsplit("/", 1)[-1] in names]
+        rows = self._read(manifest, touched)
+        if order:
+            merged = keep_latest(rows.unionByName(batch), keys, order)
+        else:
+            merged = rows.join(batch_keys, keys, "left_anti").unionByName(batch)
+        kept = {f: m for f, m in manifest["files"].items() if f not in set(touched)}
+        return self._write(merged, kept, schema)
+
+
+def _plain(column: str, schema: T.StructType) -> Column:
+    """``column`` as a value that JSON holds: timestamps as epoch microseconds."""
+    if isinstance(schema[column].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    return F.col(column)
 
 
 def watermark_value(target: DataFrame, column: str):
     """``MAX(column)`` of the target as a plain Python value (timestamps as epoch microseconds)."""
-    dtype = target.schema[column].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return target.agg(F.unix_micros(F.max(F.col(column).cast("timestamp")))).first()[0]
-    return target.agg(F.max(column)).first()[0]
+    return target.agg(F.max(_plain(column, target.schema))).first()[0]
+
+
+def newer_than(source: DataFrame, column: str, bound) -> DataFrame:
+    """Rows of ``source`` strictly above ``bound``, a literal that reaches the parquet scan as a pushed filter."""
+    if isinstance(source.schema[column].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return source.where(F.col(column).cast("timestamp") > F.timestamp_micros(F.lit(bound)))
+    return source.where(F.col(column) > F.lit(bound))
 
 
 def watermark_filter(source: DataFrame, target: DataFrame | None, column: str,
@@ -101,45 +224,43 @@ def watermark_filter(source: DataFrame, target: DataFrame | None, column: str,
     if target is None:
         return source
     wm = watermark_value(target, target_column or column)
-    if wm is None:
-        return source if empty_target == "load_all" else source.where(F.lit(False))
-    dtype = source.schema[column].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        bound = F.timestamp_micros(F.lit(wm))
-        return source.where(F.col(column).cast("timestamp") > bound)
-    return source.where(F.col(column) > F.lit(wm))
+    return _above(source, column, wm, empty_target)
+
+
+def _above(source: DataFrame, column: str, wm, empty_target: str) -> DataFrame:
+    if wm is not None:
+        return newer_than(source, column, wm)
+    if empty_target == "load_all":
+        return source
+    warnings.warn(f"the target has no {column}: nothing is loaded (empty_target='load_all' loads everything)")
+    return source.where(F.lit(False))
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
-           broadcast_limit: int = BROADCAST_KEY_LIMIT, key_bound: int | None = None) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Replace target rows whose key appears in ``batch``, insert the rest; never delete.
 
-    Target rows are kept by a left-anti join on the batch keys. The batch key
-    set is broadcast only when its size is known to be below
-    ``broadcast_limit`` - from ``key_bound`` (any proven upper bound, such as
-    the batch's raw row count) or else by counting the distinct keys - so the
-    large target is filtered map-side without a shuffle. Otherwise a shuffle
-    join is planned and AQE handles skewed keys.
+    A left-anti join on the batch keys plus a union; whether the keys are broadcast is left to Spark, which compares
+    their measured bytes with ``spark.sql.autoBroadcastJoinThreshold`` and splits skewed partitions.
     """
-    batch_keys = batch.select(*keys).distinct()
-    bound = key_bound if key_bound is not None else batch_keys.count()
-    if bound <= broadcast_limit:
-        batch_keys = F.broadcast(batch_keys)
-    untouched = target.join(batch_keys, keys, "left_anti")
+    untouched = target.join(batch.select(*keys).distinct(), keys, "left_anti")
     return untouched.unionByName(batch.select(*target.columns))
 
 
+def stored(batch: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    """``batch`` written once to the shared folder and read back, so that it is evaluated once."""
+    path = shared_dir(spark, "batches", f"{name}-{uuid.uuid4().hex}")
+    batch.write.options(**parquet_options(batch.columns)).parquet(path)
+    return spark.read.schema(batch.schema).parquet(path)
+
+
 def incremental_run(source: DataFrame, model: Callable[[DataFrame], DataFrame], table: VersionedTable,
                     keys: list[str], watermark: str, target_watermark: str | None = None,
                     full_refresh: bool = False, empty_target: str = "load_nothing") -> DataFrame:
     """First run (or ``full_refresh``) builds ``model(source)``; later runs filter
-    ``source`` by the target's watermark, build the batch and upsert it by ``keys``.
-    Each run publishes a new immutable version and returns it.
+    ``source`` by the target's watermark, build the batch once and merge it by ``keys``.
+    Each run publishes a new version and returns it.
     """
-    current = None if full_refresh else table.read()
-    if current is None:
+    if full_refresh or not table.versions():
         return table.write(model(source))
-    fresh = watermark_filter(source, current, watermark, target_watermark, empty_target)
-    # Rows of the new slice bound its distinct keys; counting them reads only the watermark column.
-    bound = fresh.select(watermark).count()
-    return table.write(upsert(current, model(fresh), keys, key_bound=bound))
+    fresh = _above(source, watermark, table.high_watermark(target_watermark or watermark), empty_target)
+    return table.merge(stored(model(fresh), table.spark, watermark), keys)

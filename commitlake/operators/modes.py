@@ -30,7 +30,14 @@ def latest_by(df: DataFrame, key: str, order: list[str], values: list[str]) -> D
 
     NULLs order lowest, i.e. ``ORDER BY order DESC`` with NULLs last; a row
     with NULL order values is still returned when nothing else exists.
+
+    The greatest value of the first order column is a plain hash aggregate; only the rows that have it go on to the
+    arg-max, whose text buffers Spark aggregates by sorting. Their join is on key and value, so a key with very many
+    rows is spread by its values.
     """
+    first = order[0]
+    top = df.groupBy(F.col(key).alias("_key")).agg(F.max(first).alias("_top"))
+    last = df.select(key, *order, *[v for v in values if v not in order]).join(
+        top, F.col(key).eqNullSafe(F.col("_key")) & F.col(first).eqNullSafe(F.col("_top")), "left_semi")
     pick = F.max_by(F.struct(*values), F.struct(*order))
-    return df.groupBy(key).agg(pick.alias("_v")).select(key, *[F.col("_v").getField(v).alias(v) for v in values])
-
+    return last.groupBy(key).agg(pick.alias("_v")).select(key, *[F.col("_v").getField(v).alias(v) for v in values])

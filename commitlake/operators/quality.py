@@ -29,9 +29,15 @@ def not_null(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child rows whose non-NULL ``column`` has no ``field`` match in ``parent``."""
+    """Child rows whose non-NULL ``column`` has no ``field`` match in ``parent``.
+
+    The distinct keys of both sides meet first, so a frequent key is one row there; the rows are then looked up among
+    the orphaned keys only.
+    """
     keys = parent.select(F.col(field).alias(column)).where(F.col(column).isNotNull()).distinct()
-    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    referred = child.where(F.col(column).isNotNull())
+    orphaned = referred.select(column).distinct().join(keys, column, "left_anti")
+    return referred.join(orphaned, column, "left_semi")
 
 
 @dataclass(frozen=True)

@@ -13,14 +13,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.operators.incremental import VersionedTable, incremental_run
-from commitlake.operators.quality import MART_CHECKS, assert_passes, quality_report
+from commitlake.operators.incremental import VersionedTable, incremental_run, stored
+from commitlake.operators.quality import MART_CHECKS, Check, assert_passes, quality_report
+from commitlake.plans import docs
 from commitlake.plans.committers import committers
 from commitlake.plans.marts import branches_mart, commits_mart, pull_request_commits_mart, repositories_mart
 from commitlake.plans.staging import stg_branches, stg_commits, stg_pull_request_commits, stg_repositories
 from commitlake.session import tune_shuffle_partitions
 from commitlake.sources.envelope import read_raw
-from commitlake.sources.sinks import apply_comments, publish
+from commitlake.sources.sinks import apply_comments, point_table_at
 
 STAGING_KEYS = {
     "repositories": ["repo_sk"],
@@ -29,21 +30,8 @@ STAGING_KEYS = {
     "pull_request_commits": ["pull_request_commit_sk"],
 }
 
-# Short descriptions persisted with the published marts.
-MART_DOCS = {
-    "committers": ("One row per GitHub author: volume, recency, work pattern and rate metrics.",
-                   {"committer_id": "GitHub user id of the author (primary key).",
-                    "total_commits": "Commits authored.",
-                    "activity_status": "Recency class from the 30/90/180/365-day commit counts.",
-                    "rank_by_total_commits": "Position by total commits (ties by committer id)."}),
-    "commits": ("One row per commit with author, committer, classification and date dimensions.",
-                {"sha": "Commit hash (primary key).",
-                 "commit_type": "Conventional-commit class of the message."}),
-    "repositories": ("Latest known state of each repository.", {"repo_sk": "repo_id:full_name key."}),
-    "branches": ("Latest known state of each branch.", {"branch_sk": "org/repo:repo_id:branch key."}),
-    "pull_request_commits": ("Commits attached to pull requests.",
-                             {"pull_request_commit_sk": "org/repo:repo_id:pr:number:sha key."}),
-}
+# Range-partitioned by time, so that event-time filters skip files and a merge of recent commits touches few of them.
+CLUSTER_BY = {"commits": ["commit_timestamp", "sha"]}
 
 
 @dataclass
@@ -60,10 +48,22 @@ def build_from_paths(spark: SparkSession, raw_paths: dict[str, str], root: str,
     return build_all(spark, {name: read_raw(spark, path) for name, path in raw_paths.items()}, root, **kwargs)
 
 
+def publish_marts(spark: SparkSession, tables: dict[str, VersionedTable], database: str) -> None:
+    """Switch the catalog tables of ``database`` to the newest versions of the marts and persist their descriptions."""
+    for name, table in tables.items():
+        published = point_table_at(spark, f"{database}.{name}", table.folder())
+        described = {c: text for c in published.columns if (text := docs.describe(c))}
+        apply_comments(spark, f"{database}.{name}", docs.TABLES[name], described)
+
+
 def build_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: Column | None = None,
-              full_refresh: bool = False, publish_to: str | None = None,
-              fail_on_error: bool = True) -> BuildResult:
-    """Build every model from the raw streams under ``root``; publish marts when checks pass."""
+              full_refresh: bool = False, publish_to: str | None = None, fail_on_error: bool = True,
+              empty_target: str = "load_nothing", checks: list[Check] | None = None) -> BuildResult:
+    """Build every model from the raw streams under ``root``, a folder of the warehouse, and run ``checks`` (default:
+    the declared suite). When no error check fails and ``publish_to`` names a database, its tables are switched to the
+    new versions; otherwise they stay as they are. ``empty_target="load_all"`` lets a table that was first built from
+    an empty extract load everything in the next run.
+    """
     as_of = as_of if as_of is not None else F.current_timestamp()
     models = {
         "repositories": lambda r: stg_repositories(r, as_of),
@@ -73,12 +73,14 @@ def build_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of:
     }
     out = BuildResult()
     for name, model in models.items():
-        table = VersionedTable(spark, f"{root}/stg/{name}")
+        table = VersionedTable(spark, f"{root}/stg/{name}", CLUSTER_BY.get(name), ["_sdc_extracted_at"])
         out.staging[name] = incremental_run(raw[name], model, table, STAGING_KEYS[name], "_sdc_extracted_at",
-                                            full_refresh=full_refresh)
-    commits_table = VersionedTable(spark, f"{root}/marts/commits")
-    out.marts["commits"] = incremental_run(out.staging["commits"], lambda s: commits_mart(s, as_of),
-                                           commits_table, ["sha"], "commit_timestamp", full_refresh=full_refresh)
+                                            full_refresh=full_refresh, empty_target=empty_target)
+    tables = {name: VersionedTable(spark, f"{root}/marts/{name}") for name in docs.TABLES if name != "commits"}
+    tables["commits"] = VersionedTable(spark, f"{root}/marts/commits", CLUSTER_BY["commits"], ["commit_timestamp"])
+    out.marts["commits"] = incremental_run(out.staging["commits"], lambda s: commits_mart(s, as_of), tables["commits"],
+                                           ["sha"], "commit_timestamp", full_refresh=full_refresh,
+                                           empty_target=empty_target)
     full = {
         "committers": committers(out.staging["commits"], as_of, as_of),
         "repositories": repositories_mart(out.staging["repositories"], as_of),
@@ -86,14 +88,11 @@ def build_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of:
         "pull_request_commits": pull_request_commits_mart(out.staging["pull_request_commits"], as_of),
     }
     for name, df in full.items():
-        out.marts[name] = VersionedTable(spark, f"{root}/marts/{name}").write(df)
-    out.report = quality_report(out.marts, MART_CHECKS)
+        out.marts[name] = tables[name].write(df)
+    out.report = stored(quality_report(out.marts, MART_CHECKS if checks is None else checks), spark, "report")
     if not fail_on_error:
         return out
     out.warnings = assert_passes(out.report)
     if publish_to:
-        for name, df in out.marts.items():
-            publish(df, name, publish_to)
-            description, columns = MART_DOCS[name]
-            apply_comments(spark, f"{publish_to}.{name}", description, columns)
+        publish_marts(spark, tables, publish_to)
     return out

@@ -3,7 +3,7 @@
 The source model reads its commit input eight times (e-mail mode, profile,
 base stats, recency, time patterns, hour mode, day-of-week mode, daily
 intensity) and joins the pieces. Here the same outputs come from three
-scans of the staging table and hash aggregates that combine map-side:
+rollups of the staging table that combine map-side:
 
 1. ``author_days``   GROUP BY (author, commit_date): counters, first/last
                      time, a 25-bucket hour histogram. Per-commit work ends here.
@@ -12,13 +12,13 @@ scans of the staging table and hash aggregates that combine map-side:
                      hour and day-of-week modes (NULL bucket included).
 3. ``author_values`` distinct repositories, distinct pull requests and the
                      e-mail mode from one (author, kind, value) rollup.
-4. ``author_profile`` attributes of the latest commit (arg-max aggregate).
+4. ``author_profile`` attributes of the latest commit (latest time per author, then arg-max among its rows).
 
 Every step pre-aggregates before its shuffle, so an author holding a third
 of all commits sends one row per map task, never its whole group. The
 per-author results share the author hash partitioning and are joined
-without re-shuffling the large side. Ranks use ``global_rank`` (no
-single-partition sort).
+without re-shuffling the large side. Ranks use ``global_rank`` over two
+columns (no single-partition sort).
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from commitlake.functions.dates import days_between, since
 from commitlake.functions.metrics import greatest_strict, pct, rate
 from commitlake.functions.text import COMMIT_TYPES
+from commitlake.operators.incremental import stored
+from commitlake.operators.modes import latest_by
 from commitlake.operators.rank import global_rank
 
 c = F.col
@@ -152,8 +154,7 @@ PROFILE = ["github_author_login", "github_author_avatar_url", "github_author_pro
 
 def author_profile(commits: DataFrame) -> DataFrame:
     """Profile attributes of each author's latest commit (NULL times last; ties: greatest sha)."""
-    latest = F.max_by(F.struct(*PROFILE), F.struct("commit_timestamp", "sha"))
-    return commits.groupBy(AUTHOR).agg(latest.alias("p")).select(AUTHOR, *[c(f"p.{x}").alias(x) for x in PROFILE])
+    return latest_by(commits, AUTHOR, ["commit_timestamp", "sha"], PROFILE)
 
 
 # The columns of the mart, in the order of its contract.
@@ -227,9 +228,11 @@ def committers(stg_commits: DataFrame, as_of: Column | None = None, built_at: Co
     """
     as_of = as_of if as_of is not None else F.current_timestamp()
     stats = committer_stats(stg_commits, as_of)
-    ranked = global_rank(stats, [c("commits_last_90_days").desc(), c("committer_id").asc()],
-                         "rank_by_recent_activity")
-    ranked = global_rank(ranked, [c("total_commits").desc(), c("committer_id").asc()], "rank_by_total_commits")
+    stats = stored(stats, stats.sparkSession, "committer-stats")     # read three times below
+    ranks = [global_rank(stats.select("committer_id", by), [c(by).desc(), c("committer_id").asc()], name).drop(by)
+             for by, name in (("commits_last_90_days", "rank_by_recent_activity"),
+                              ("total_commits", "rank_by_total_commits"))]
+    ranked = stats.join(ranks[0], "committer_id").join(ranks[1], "committer_id")
     built = (built_at if built_at is not None else F.current_timestamp()).alias("dbt_updated_at")
     out = ranked.select(*FINAL_COLUMNS, "rank_by_total_commits", "rank_by_recent_activity", built)
     # Written in rank order (a distributed range sort over one row per author).

@@ -18,14 +18,19 @@ from commitlake.functions import (
 )
 from commitlake.functions.text import commit_type
 from commitlake.operators.dedupe import keep_latest
-from commitlake.operators.incremental import VersionedTable, incremental_run, upsert, watermark_filter
-from commitlake.operators.modes import latest_by, mode_by
+from commitlake.operators.incremental import VersionedTable, incremental_run, stored, upsert, watermark_filter
+from commitlake.operators.joins import left_join_dim
+from commitlake.operators.modes import mode_by
 from commitlake.operators.quality import MART_CHECKS, not_null, quality_report, relationships, unique
 from commitlake.operators.rank import global_rank
 from commitlake.plans import committers as committers_plan
-from commitlake.plans.committers import AUTHOR, PROFILE, authored, committer_stats
+from commitlake.plans.committers import (
+    AUTHOR, author_days, author_profile, author_totals, author_values, authored, committer_stats,
+)
 from commitlake.plans.marts import branches_mart, commits_mart, pull_request_commits_mart, repositories_mart
-from commitlake.plans.staging import stg_branches, stg_commits, stg_pull_request_commits, stg_repositories
+from commitlake.plans.staging import (
+    latest_first, stg_branches, stg_commits, stg_pull_request_commits, stg_repositories,
+)
 from commitlake.session import configure, shared_dir
 from commitlake.sources import fixtures as fx
 from commitlake.sources.envelope import (
@@ -70,12 +75,17 @@ def s_repos(spark, sf, versions=(0, 1)):
     return stg_repositories(fx.raw_repositories(spark, sf, versions), _as_of())
 
 
+def stored_commits(spark, sf):
+    """Staging commits written once, for queries that read them several times."""
+    return stored(s_commits(spark, sf), spark, "stg_commits")
+
+
 def m_committers(spark, sf):
-    return committers_plan(s_commits(spark, sf), _as_of(), _as_of())
+    return committers_plan(stored_commits(spark, sf), _as_of(), _as_of())
 
 
 def m_stats(spark, sf):
-    return committer_stats(s_commits(spark, sf), _as_of())
+    return committer_stats(stored_commits(spark, sf), _as_of())
 
 
 def m_commits(spark, sf):
@@ -98,24 +108,32 @@ def q_top_committers(spark, sf):
 
 
 def q_email_mode(spark, sf):
-    m = mode_by(authored(s_commits(spark, sf)), AUTHOR, "git_author_email", out="committer_email",
-                null_bucket=False)
-    return m.withColumnRenamed(AUTHOR, "committer_id")
+    m = author_values(authored(s_commits(spark, sf)))
+    return m.where(c("git_author_email").isNotNull()).select(
+        c(AUTHOR).alias("committer_id"), c("git_author_email").alias("committer_email"))
+
+
+def _work_pattern(spark, sf, column):
+    m = author_totals(author_days(authored(s_commits(spark, sf)), _as_of()), _as_of())
+    return m.select(c(AUTHOR).alias("committer_id"), column)
 
 
 def q_hour_mode(spark, sf):
-    m = mode_by(authored(s_commits(spark, sf)), AUTHOR, "commit_hour", out="most_active_hour")
-    return m.withColumnRenamed(AUTHOR, "committer_id")
+    return _work_pattern(spark, sf, "most_active_hour")
 
 
 def q_dow_mode(spark, sf):
-    m = mode_by(authored(s_commits(spark, sf)), AUTHOR, "commit_day_of_week", out="most_active_day_of_week")
+    return _work_pattern(spark, sf, "most_active_day_of_week")
+
+
+def q_mode_by(spark, sf):
+    """The general mode operator: the most frequent commit type of each author."""
+    m = mode_by(authored(s_commits(spark, sf)), AUTHOR, "commit_type", out="usual_type")
     return m.withColumnRenamed(AUTHOR, "committer_id")
 
 
 def q_profile_latest(spark, sf):
-    p = latest_by(authored(s_commits(spark, sf)), AUTHOR, ["commit_timestamp", "sha"], PROFILE)
-    return p.withColumnRenamed(AUTHOR, "committer_id")
+    return author_profile(authored(stored_commits(spark, sf))).withColumnRenamed(AUTHOR, "committer_id")
 
 
 def q_group_count(spark, sf):
@@ -135,9 +153,11 @@ def q_rank_recent(spark, sf):
 
 
 def q_left_join_dim(spark, sf):
-    commits = m_commits(spark, sf).select("sha", "github_author_id")
-    dim = m_stats(spark, sf).select(c("committer_id").alias("github_author_id"), "github_login", "activity_status")
-    return commits.join(dim, "github_author_id", "left")
+    stg = stored_commits(spark, sf)
+    commits = commits_mart(stg, _as_of()).select("sha", "github_author_id")
+    dim = committer_stats(stg, _as_of()).select(
+        c("committer_id").alias("github_author_id"), "github_login", "activity_status")
+    return left_join_dim(commits, dim, "github_author_id")
 
 
 def q_dedupe_commits(spark, sf):
@@ -373,7 +393,20 @@ def q_stream_incremental_commits(spark, sf):
     checkpoint = shared_dir(spark, "streams", f"stg_commits-{run}")
     for batch, versions in [(1, (0,)), (2, (1,))]:
         fx.raw_commits(spark, sf, versions).write.parquet(f"{landing}/batch={batch}")
-        out = stream_upsert(spark, landing, stg_commits, table, ["sha"], checkpoint)
+        out = stream_upsert(spark, landing, stg_commits, table, ["sha"], checkpoint, latest_first("commits"))
+    return out.select("sha", "commit_message", "_sdc_extracted_at")
+
+
+def q_stream_out_of_order(spark, sf):
+    """The later extraction lands first: the stream's table still equals a full build of both."""
+    from commitlake.streaming import stream_upsert
+    run = _run_id()
+    landing = shared_dir(spark, "landing", f"commits-late-{run}")
+    table = VersionedTable(spark, shared_dir(spark, "tables", f"stg_commits_late-{run}"))
+    checkpoint = shared_dir(spark, "streams", f"late-{run}")
+    for batch, versions in [(1, (1,)), (2, (0,))]:
+        fx.raw_commits(spark, sf, versions).write.parquet(f"{landing}/batch={batch}")
+        out = stream_upsert(spark, landing, stg_commits, table, ["sha"], checkpoint, latest_first("commits"))
     return out.select("sha", "commit_message", "_sdc_extracted_at")
 
 
@@ -381,11 +414,34 @@ def q_published_branches(spark, sf):
     """Full-refresh publication into the catalog, read back by name."""
     from commitlake.sources.sinks import apply_comments, publish
     name = f"branches_{_run_id()[:12]}"
-    out = publish(branches_mart(s_branches(spark, sf), _as_of()), name, "marts")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    out = publish(branches_mart(s_branches(spark, sf), _as_of()), name, f"{warehouse}/published/{name}", "marts")
     apply_comments(spark, f"marts.{name}", "Latest known state of each branch.", {"branch_sk": "Branch key."})
     return out.select("branch_sk", "is_main_branch", "is_protected")
 
 
+def q_mart_docs(spark, sf):
+    """The columns of every published mart and whether the catalog holds a comment for them."""
+    from commitlake.plans.build import publish_marts
+    run = _run_id()
+    stg = stored_commits(spark, sf)
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    database = f"docs_{run[:12]}"
+    tables = {name: VersionedTable(spark, f"{warehouse}/published/{database}/{name}")
+              for name in ("branches", "commits", "committers", "pull_request_commits", "repositories")}
+    marts = {**_marts(spark, sf, stg), "committers": committers_plan(stg, _as_of(), _as_of())}
+    for name, df in marts.items():
+        tables[name].write(df.limit(0))           # the catalog entry is what is looked at, not the rows
+    publish_marts(spark, tables, database)
+    out = None
+    for name in sorted(tables):
+        described = spark.sql(f"DESCRIBE TABLE {database}.{name}").select(
+            F.lit(name).alias("table_name"), c("col_name").alias("column_name"),
+            (F.length(F.coalesce("comment", F.lit(""))) > 10).alias("described"))
+        out = described if out is None else out.unionByName(described)
+    return out
+
+
 def q_view_commits_by_type(spark, sf):
     """View materialisation of the commits mart, queried with SQL."""
     from commitlake.sources.sinks import publish_view
@@ -443,6 +499,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_committers": q_top_committers,
     # committers parts
     "email_mode": q_email_mode,
+    "mode_by": q_mode_by,
     "profile_latest": q_profile_latest,
     "hour_mode": q_hour_mode,
     "dow_mode": q_dow_mode,
@@ -508,8 +565,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_two_batches": q_incremental_two_batches,
     "incremental_commits_mart": q_incremental_commits_mart,
     "stream_incremental_commits": q_stream_incremental_commits,
+    "stream_out_of_order": q_stream_out_of_order,
     # sinks
     "published_branches": q_published_branches,
+    "mart_docs": q_mart_docs,
     "view_commits_by_type": q_view_commits_by_type,
     # data quality
     "test_unique": q_test_unique,

@@ -49,13 +49,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint directory.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local runs, tests) a private folder is created and registered, so that
-    ``DataFrame.checkpoint()`` and versioned tables work the same way.
+    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset in
+    a local run (tests) a private folder is created and registered; on a
+    cluster that would be a different folder on every machine, so it fails.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="commitlake-")
         sc.setCheckpointDir(root)
     elif sc.getCheckpointDir() is None:

@@ -4,26 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commitlake.session import shared_dir
+from commitlake.operators.incremental import VersionedTable
 
 
 def _quote(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def publish(df: DataFrame, table: str, database: str = "marts", path: str | None = None) -> DataFrame:
-    """Full-refresh table (``materialized='table'``): overwrite ``database.table`` with ``df``.
+def point_table_at(spark: SparkSession, table: str, location: str) -> DataFrame:
+    """Make ``database.table`` an external parquet table over ``location``.
 
-    The table is external, stored under ``path`` (default: the shared
-    checkpoint folder), so executors on any host can read it back.
+    An existing table with the same columns is switched by its location alone, one catalog change: readers see the old
+    or the new version, never a mixture or a gap. The old version's files stay until they are removed on purpose.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+    schema = spark.read.parquet(location).schema
+    same = spark.catalog.tableExists(table) and [(f.name, f.dataType) for f in spark.table(table).schema.fields] == [
+        (f.name, f.dataType) for f in schema.fields]
+    if same:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quote(location)}")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, location, "parquet")
+    return spark.table(table)
+
+
+def publish(df: DataFrame, table: str, path: str, database: str = "marts") -> DataFrame:
+    """Full-refresh table (``materialized='table'``): a new version of ``df`` under ``path``, then the switch.
+
+    ``path`` is a folder of the warehouse that the caller names; nothing is published into scratch folders.
     """
     spark = df.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    location = path or shared_dir(spark, "warehouse", database, table)
-    from commitlake.operators.incremental import parquet_options
-    (df.write.mode("overwrite").format("parquet").options(**parquet_options(df.columns)).option("path", location)
-     .saveAsTable(f"{database}.{table}"))
-    return spark.table(f"{database}.{table}")
+    versions = VersionedTable(spark, path)
+    versions.write(df)
+    return point_table_at(spark, f"{database}.{table}", versions.folder())
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:

@@ -5,32 +5,33 @@ The batch variant (``operators.incremental``) selects new raw rows by the
 which landed files were processed (in the checkpoint), and each micro-batch
 is modelled and upserted by key with ``foreachBatch``. Run it with
 ``availableNow`` as a scheduled job or with a processing-time trigger as a
-continuous one. A replayed micro-batch rewrites the same keys with the same
-rows, so recovery after a lost executor or driver is idempotent. Unlike the
-watermark load, records landing late with an equal extraction time are not
-skipped.
+continuous one. Files may land in any order: of a row in the table and a row of the batch with the same key the
+first by ``order``, the model's own order, stays, so the table equals a full build of the files seen so far. A
+replayed micro-batch merges the same rows again, which changes nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from commitlake.operators.incremental import VersionedTable, upsert
+from commitlake.operators.incremental import VersionedTable, stored
 from commitlake.sources.schemas import ENVELOPE
 
 
 def stream_upsert(spark: SparkSession, source_dir: str, model: Callable[[DataFrame], DataFrame],
-                  table: VersionedTable, keys: list[str], checkpoint: str, fmt: str = "parquet",
+                  table: VersionedTable, keys: list[str], checkpoint: str, order: list[Column], fmt: str = "parquet",
                   available_now: bool = True, processing_time: str | None = None):
     """Start the stream; with ``available_now`` it processes every unseen file, then stops and
     returns the table's newest version. Otherwise the running query is returned."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        staged = model(batch)
-        current = table.read()
-        table.write(staged if current is None else upsert(current, staged, keys))
+        staged = stored(model(batch), spark, f"stream-{batch_id}")
+        if table.versions():
+            table.merge(staged, keys, order)
+        else:
+            table.write(staged)
 
     stream = spark.readStream.schema(ENVELOPE).format(fmt).load(source_dir)
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -10,6 +10,8 @@ differ. Integer outputs are cast to BIGINT (DuckDB widens counts to HUGEINT).
 
 from __future__ import annotations
 
+import re
+
 AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
 X0 = "TIMESTAMP '2024-02-01 00:00:00'"   # first extraction batch
 API = "https://api.github.com/repos/"
@@ -523,6 +525,9 @@ ORACLE_SQL: dict[str, str] = {
                        "GROUP BY commit_type",
     "top_committers": f"SELECT committer_id, github_login, total_commits, rank_by_total_commits FROM ({COMMITTERS}) "
                       "AS m ORDER BY total_commits DESC, committer_id ASC LIMIT 10",
+    "mode_by": f"""SELECT committer_id, arg_min(commit_type, row(-n, commit_type)) AS usual_type
+        FROM (SELECT github_author_id AS committer_id, commit_type, count(*) AS n FROM ({STG_C}) AS s
+              WHERE github_author_id IS NOT NULL GROUP BY ALL) AS counted GROUP BY committer_id""",
     "email_mode": _committers("committer_email") + " WHERE committer_email IS NOT NULL",
     "profile_latest": f"""SELECT committer_id, github_login AS github_author_login, avatar_url AS github_author_avatar_url,
         profile_url AS github_author_profile_url, account_type AS github_author_type, committer_name AS git_author_name
@@ -622,6 +627,7 @@ ORACLE_SQL: dict[str, str] = {
           SELECT * FROM full0 WHERE repo_sk NOT IN (SELECT repo_sk FROM batch1)
           UNION ALL SELECT * FROM batch1) AS u""",
     "incremental_commits_mart": project(stg_commits("0"), "sha, commit_message, @commit_timestamp"),
+    "stream_out_of_order": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
     "stream_incremental_commits": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
     "published_branches": project(stg_branches(), "branch_sk, (branch_name = 'main') AS is_main_branch, is_protected"),
     "view_commits_by_type": f"""SELECT commit_type, commit_date, CAST(count(*) AS BIGINT) AS commit_count
@@ -676,3 +682,15 @@ def _report_sql() -> str:
 
 
 ORACLE_SQL["test_report"] = _report_sql()
+
+
+def _docs_sql() -> str:
+    """The contract's columns of the five marts, each described."""
+    columns = {"branches": MART_BRANCH_COLS, "commits": MART_COMMIT_COLS, "committers": COMMITTER_COLS,
+               "pull_request_commits": MART_PR_COLS, "repositories": MART_REPO_COLS}
+    rows = [f"('{t}', '{x.strip().removeprefix('@').rsplit(' ')[-1]}', TRUE)"
+            for t, cols in columns.items() for x in re.split(r",(?![^(]*\))", cols)]     # commas outside brackets
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS d(table_name, column_name, described)"
+
+
+ORACLE_SQL["mart_docs"] = _docs_sql()

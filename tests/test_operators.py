@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from commitlake.operators import (
-    VersionedTable, global_rank, incremental_run, keep_latest, latest_by, mode_by, upsert, watermark_filter,
+    VersionedTable, global_rank, incremental_run, keep_latest, latest_by, left_join_dim, mode_by, upsert, watermark_filter,
 )
 from commitlake.session import shared_dir
 
@@ -47,7 +47,10 @@ def test_upsert_replaces_and_inserts(spark):
     batch = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
     got = sorted((r["k"] or -1, r["v"]) for r in upsert(target, batch, ["k"]).collect())
     assert got == [(-1, "n"), (1, "a"), (2, "B"), (3, "C")]
-    got_shuffle = sorted((r["k"] or -1, r["v"]) for r in upsert(target, batch, ["k"], broadcast_limit=0).collect())
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    got_shuffle = sorted((r["k"] or -1, r["v"]) for r in upsert(target, batch, ["k"]).collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert got_shuffle == got
 
 
@@ -85,19 +88,64 @@ def test_incremental_run_versions(spark):
     assert full.count() == 2 and table.versions() == [1, 2, 3]
 
 
-def test_versioned_table_skips_incomplete_folder(spark):
+def test_versioned_table_skips_folders_without_a_commit(spark):
     root = shared_dir(spark, "tests", f"vt-crash-{random.random()}")
     table = VersionedTable(spark, root)
     table.write(spark.createDataFrame([(1,)], "k int"))
-    spark.createDataFrame([(9,)], "k int").write.parquet(f"{root}/v=000002")
-    jvm = spark.sparkContext._jvm   # simulate a job lost before commit: no _SUCCESS marker
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/v=000002/_SUCCESS")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
+    spark.createDataFrame([(9,)], "k int").write.parquet(f"{root}/v=000002")    # a job lost before its commit
     assert table.versions() == [1] and table.read().first()["k"] == 1
     out = table.write(spark.createDataFrame([(2,)], "k int"))
     assert table.versions() == [1, 3] and out.first()["k"] == 2
 
 
+def test_merge_rewrites_only_files_with_a_key_of_the_batch(spark):
+    table = VersionedTable(spark, shared_dir(spark, "tests", f"vt-merge-{random.random()}"), ["t", "k"], ["t"])
+    rows = spark.range(4000).selectExpr("id AS k", "id AS t", "repeat('x', 40) AS v").repartition(7)
+    advisory = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    table.write(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", advisory)
+    before = set(table.files())
+    assert len(before) > 4 and table.high_watermark("t") == 3999
+    batch = spark.createDataFrame([(3990, 5000, "new"), (4100, 5001, "new")], "k long, t long, v string")
+    out = table.merge(batch, ["k"])
+    after = set(table.files())
+    assert len(before - after) == 1 and len(before & after) == len(before) - 1, "the other files are still the same"
+    assert out.count() == 4001 and table.high_watermark("t") == 5001
+    assert {r.k for r in out.where("v = 'new'").collect()} == {3990, 4100}
+    table.vacuum()
+    assert table.versions() == [2] and table.read().count() == 4001
+    assert table.folder().endswith("v=000003") and table.read().count() == 4001
+
+
+def test_merge_with_an_order_keeps_the_better_row(spark):
+    table = VersionedTable(spark, shared_dir(spark, "tests", f"vt-order-{random.random()}"))
+    table.write(spark.createDataFrame([(1, 5, "old"), (2, 5, "old")], "k int, t int, v string"))
+    out = table.merge(spark.createDataFrame([(1, 4, "late"), (2, 6, "new"), (3, 1, "new")], "k int, t int, v string"),
+                      ["k"], [F.col("t").desc()])
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 5, "old"), (2, 6, "new"), (3, 1, "new")]
+
+
+def test_event_time_filter_skips_files(spark):
+    """A table clustered by time: a filter on recent times reads few of its rows."""
+    table = VersionedTable(spark, shared_dir(spark, "tests", f"vt-prune-{random.random()}"), ["t", "k"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    out = table.write(spark.range(8000).selectExpr("(id * 7919) % 8000 AS k", "timestamp_seconds(id * 60) AS t").repartition(5))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spans = [r.high - r.low for r in out.groupBy(F.input_file_name().alias("f")).agg(
+        F.min(F.unix_seconds("t")).alias("low"), F.max(F.unix_seconds("t")).alias("high")).collect()]
+    assert len(spans) > 4 and sum(spans) <= 8000 * 60, "files do not overlap in time"
+    recent = out.where(F.col("t") > F.timestamp_seconds(F.lit(7900 * 60)))
+    assert recent.select(F.input_file_name()).distinct().count() <= 2
+
+
+def test_left_join_dim_keeps_null_keys(spark):
+    fact = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c"), (9, "d")], "k int, v string")
+    dim = spark.createDataFrame([(1, "one")], "k int, name string")
+    got = sorted(((r.k, r.v, r.name) for r in left_join_dim(fact, dim, "k").collect()), key=str)
+    assert got == sorted([(1, "a", "one"), (None, "b", None), (None, "c", None), (9, "d", None)], key=str)
+
+
 def test_tune_shuffle_partitions_only_raises(spark):
     from commitlake.session import tune_shuffle_partitions
     path = shared_dir(spark, "tests", f"size-{random.random()}")

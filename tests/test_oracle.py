@@ -1,17 +1,14 @@
 """Registered queries against the DuckDB oracle on the smallest driver scale."""
 
 import datetime as dt
-import os
-
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from commitlake import registry
 
 SF = "/root/testdata/sf0.001"
-FAST = ["stg_commits", "stg_repositories", "stg_branches", "stg_pull_request_commits", "committers",
-        "commits_by_type", "hour_mode", "email_mode", "incremental_repositories", "test_report", "json_value"]
-NAMES = list(entry.oracle_sql()) if os.environ.get("COMMITLAKE_ALL_ORACLE") else FAST
+NAMES = [name for name in entry.oracle_sql() if name in registry.QUERIES]
 
 
 def _norm(rows, cols):

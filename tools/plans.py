@@ -68,7 +68,7 @@ def main():
     plans["branches mart"] = branches_mart(stg["stg_branches"], as_of)
     plans["repositories mart"] = repositories_mart(stg["stg_repositories"], as_of)
     plans["incremental: watermark on raw"] = watermark_filter(raw["commits"], stg["stg_commits"], "_sdc_extracted_at")
-    plans["incremental: upsert (batch keys broadcast)"] = upsert(
+    plans["incremental: upsert"] = upsert(
         stg["stg_commits"], stg["stg_commits"].where(F.col("_sdc_extracted_at") >= "2024-02-02"), ["sha"])
     marts = {"commits": plans["commits mart"], "committers": stats,
              "pull_request_commits": plans["pull_request_commits mart"], "branches": plans["branches mart"],
