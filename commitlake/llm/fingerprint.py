@@ -60,7 +60,7 @@ def written(packed: str) -> Column:
         (F.lit(top) - v.bitwiseAND(F.lit(top))).cast("string"))), ",")
 
 
-def hashes(packed: str) -> Column:
+def hashes(packed: str | Column) -> Column:
     return F.array_distinct(F.transform(packed, lambda v: F.shiftright(v, POSITION_BITS)))
 
 
@@ -71,14 +71,13 @@ def likeness(a: str, b: str) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(common / either)
 
 
-def _bucket(value: Column, borders: list[int]) -> Column:
-    """How many of the sorted ``borders`` are at or above ``value``, as a balanced tree of comparisons."""
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(len(borders) - low)
-        mid = (low + high) // 2
-        return F.when(value <= borders[mid], tree(low, mid)).otherwise(tree(mid + 1, high))
-    return tree(0, len(borders))
+def _below(value: Column, borders: list[int]) -> Column:
+    """How many of the sorted ``borders`` are below ``value``: first among the last ones of each block, then inside a
+    block, so that a row is compared with some 2 * sqrt(borders) of them."""
+    block = max(1, round(len(borders) ** 0.5))
+    blocks = F.size(F.filter(F.lit(borders[block - 1::block]), lambda x: x < value))
+    inside = F.slice(F.lit(borders), blocks * block + 1, F.lit(block))
+    return blocks * block + F.size(F.filter(inside, lambda x: x < value))
 
 
 def with_next(rows: DataFrame, id_col: str, tie: str, values: list[str]) -> DataFrame:
@@ -92,31 +91,30 @@ def with_next(rows: DataFrame, id_col: str, tie: str, values: list[str]) -> Data
                      F.max(id_col).alias("top")).first()
     borders = sorted({*(found.q or []), *([found.top] if found.top is not None else [])})
     last = len(borders)
-    own = F.when(F.col(id_col).isNull(), F.lit(last)).otherwise(_bucket(F.col(id_col), borders))
-    heads = F.col(id_col).isin(borders) if borders else F.lit(False)
+    below = _below(F.col(id_col), borders) if borders else F.lit(0)
+    own = F.when(F.col(id_col).isNull(), F.lit(last)).otherwise(F.lit(last) - F.col("_below"))
+    heads = F.get(F.lit(borders), F.col("_below")) == F.col(id_col) if borders else F.lit(False)
     before = F.when(F.col("_own") == 1, F.lit(last)).otherwise(F.col("_own") - 1)
-    home = F.struct(F.col("_own").alias("bucket"), F.lit(False).alias("guest"))
-    guest = F.struct(before.alias("bucket"), F.lit(True).alias("guest"))
-    placed = rows.withColumn("_own", own).withColumn("_head", heads).withColumn(
-        "_at", F.explode(F.when(F.col("_head"), F.array(home, guest)).otherwise(F.array(home))))
-    order = Window.partitionBy("_at.bucket").orderBy("_at.guest", F.col(id_col).desc_nulls_last(), tie)
-    for v in values:
-        placed = placed.withColumn(f"next_{v}", F.lead(v).over(order))
-    return placed.where(~F.col("_at.guest")).drop("_own", "_head", "_at")
+    home = F.struct(F.col("_own").alias("_bucket"), F.lit(False).alias("_guest"))
+    guest = F.struct(before.alias("_bucket"), F.lit(True).alias("_guest"))
+    placed = rows.withColumn("_below", below).withColumn("_own", own).withColumn("_head", heads).select(
+        *rows.columns, F.inline(F.when(F.col("_head"), F.array(home, guest)).otherwise(F.array(home))))
+    order = Window.partitionBy("_bucket").orderBy("_guest", F.col(id_col).desc_nulls_last(), tie)
+    placed = placed.select("*", *[F.lead(v).over(order).alias(f"next_{v}") for v in values])
+    return placed.where(~F.col("_guest")).drop("_bucket", "_guest")
 
 
 def fingerprint_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text (its second half replaced by the next document's start)."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = fingerprints(rows, "text", "chosen").withColumn("own", hashes("chosen"))
-    rows = with_next(rows, "id", "text", ["text", "own"])
+    rows = with_next(fingerprints(rows, "text", "chosen"), "id", "text", ["text", "chosen"])
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half),
                       F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
-    rows = rows.select("id", "n_chars", "chosen", "own", F.coalesce("next_own", F.array().cast("array<bigint>")).alias(
-        "next_own"), edited.alias("edited"))
+    rows = rows.select("id", "n_chars", "chosen", hashes("chosen").alias("own"), hashes(F.coalesce(
+        "next_chosen", F.array().cast("array<bigint>"))).alias("next_own"), edited.alias("edited"))
     rows = fingerprints(rows, "edited", "edited_chosen").withColumn("edited_own", hashes("edited_chosen"))
     return rows.select(
         F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
