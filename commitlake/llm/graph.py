@@ -12,31 +12,30 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one smaller end, which is nobody's larger end."""
+    ends = edges.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    if not ends.where("n > 1").isEmpty():
+        return False
+    return edges.select("a").distinct().join(ends.select(F.col("b").alias("a")), "a", "left_semi").isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, label) for every end of ``edges`` (a, b); label is the smallest node of the component.
 
     Alternating large-star and small-star steps (Kiveris et al., 2014): every node hands its larger, then its
-    smaller neighbours to its smallest one, until each component is a star. Each round is two aggregates and two
+    smaller neighbours to its smallest one, until each component is a star. Each round is three aggregates and two
     joins over the edges; its result is written to the shared folder. The number of rounds is logarithmic.
     """
     edges = materialise(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where(
         "a < b").distinct(), "components")
-    state = _state(edges)
-    while state[0]:
+    while not _is_forest_of_stars(edges):
         both = _both_ways(edges)                                            # large star
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a < b").distinct()
+        large = both.join(low, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a < b")
         low = large.groupBy("b").agg(F.min("a").alias("m"))                 # small star
-        small = large.join(low, "b").select(F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("b")),
-                                                              F.struct(F.col("m").alias("a"), F.col("a").alias("b"))))
-                                            .alias("e")).select("e.*").where("a < b").distinct()
-        edges = materialise(small, "components")
-        before, state = state, _state(edges)
-        if state == before:
-            break
+        small = large.join(low, "b").select(F.inline(F.array(F.struct(F.col("m").alias("a"), F.col("b")),
+                                                             F.struct(F.col("m").alias("a"), F.col("a").alias("b")))))
+        edges = materialise(small.where("a < b").distinct(), "components")
     tops = edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct()
     return edges.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(tops)

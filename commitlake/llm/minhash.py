@@ -4,13 +4,14 @@
    equal sets are one node from here on, so a group of exact copies costs one node however large it is.
 2. Signatures are banded; a bucket is the nodes that agree on a whole band. The number of rows per band follows from
    the threshold and the chosen chance ``BAND_MISS`` that a linked pair shares no bucket.
-3. Candidates are not all pairs of a bucket. First every member meets its bucket's smallest node; when the verified
-   links have been joined to classes, only pairs of a bucket that still lie in different classes are compared. Links
-   inside a class cannot change the result, so nothing is lost, and a bucket of n near copies costs n comparisons.
+3. Candidates are not all pairs of a bucket. First every member meets its bucket's smallest node, then, where a
+   bucket still holds several classes, the node nearest to its middle; only pairs that still lie in different classes
+   after that are compared. Links inside a class cannot change the result, so nothing is lost, and a bucket of n near
+   copies costs n comparisons. Shingles that a node shares with no other candidate bound its similarity to any of
+   them: nodes and pairs that this exact bound keeps below the threshold are left out of the last step.
 4. A candidate's signatures are compared batch by batch. With a uniform prior the similarity after m matches of n
    follows Beta(m + 1, n - m + 1); once P(similarity >= threshold) falls below ``PRUNE_MISS`` the pair is dropped.
-5. Survivors are verified exactly on their full shingle sets, the most similar partner of each node first; partners
-   that the first pass has already put into the same class need no verification.
+5. Survivors are verified exactly on their full shingle sets.
 
 Defined cases: a NULL, empty or blank text has an empty set and is linked with nothing; a text of fewer than 5 words
 is one shingle; rows with equal ids are separate rows of the same id; a NULL id never becomes a class id while the
@@ -186,9 +187,10 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
                 keep.append(100 * same >= threshold * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.select("a", "b").join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(verify, "a long, b long")
+    both = pairs.select(F.col("a").alias("one"), F.col("b").alias("two")).join(
+        texts.select(F.col("node").alias("one"), F.col("t").alias("text_one")), "one").join(
+        texts.select(F.col("node").alias("two"), F.col("t").alias("text_two")), "two")
+    return both.select("one", "two", "text_one", "text_two").mapInArrow(verify, "a long, b long")
 
 
 def _labelled(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -214,30 +216,70 @@ def node_classes(profiled: DataFrame, texts_of: DataFrame, threshold: int) -> Da
     signs = materialise(profiled.join(wanted, ["node", "text_key"], "left_semi").select("node", "signature").groupBy(
         "node", "signature").agg(F.lit(1).alias("one")).drop("one"), "minhash-signatures")
 
-    # 1. every member against its bucket's smallest node, the most similar partner of each node first
+    # 1. every member against its bucket's smallest node
     stars = members.where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    near = materialise(likely(stars, signs, threshold), "minhash-stars")
-    best = near.groupBy("b").agg(F.max(F.col("matches")).alias("matches")).join(near, ["b", "matches"]).groupBy(
-        "b").agg(F.min("a").alias("a"))
-    links = materialise(verified(best, texts, threshold), "minhash-links")
+    links = materialise(verified(likely(stars, signs, threshold), texts, threshold), "minhash-links")
     classes = connected_components(links)
-    rest = _labelled(near.select("a", "b"), classes).join(best, ["a", "b"], "left_anti")
-    links = links.union(materialise(verified(rest, texts, threshold), "minhash-links"))
+
+    # 2. buckets with nodes of different classes: every node against the one nearest to the bucket's middle
+    sizes = profiled.select("node", "n_shingles").distinct()
+    placed = materialise(own_shingles(_divided(members, classes), texts, sizes, threshold), "minhash-placed")
+    middle = placed.groupBy("bucket").agg(F.min(F.struct("own", "node")).alias("m")).select(
+        "bucket", F.col("m.node").alias("middle"))
+    placed = materialise(placed.join(middle, "bucket"), "minhash-placed")
+    stars = placed.where("node != middle").select(
+        F.least("node", "middle").alias("a"), F.greatest("node", "middle").alias("b")).distinct()
+    near = likely(_labelled(stars, classes), signs, threshold)
+    links = links.union(materialise(verified(near, texts, threshold), "minhash-links"))
     classes = connected_components(links)
 
-    # 2. members of a bucket that are still in different classes, without the bucket's largest class against itself
-    placed = members.join(classes, "node", "left").select(
-        "bucket", "node", "low", F.coalesce("label", "node").alias("label"))
-    sizes = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    split = sizes.groupBy("bucket").agg(
-        F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    placed = materialise(placed.join(split.select("bucket", F.col("top.label").alias("main")), "bucket"),
-                         "minhash-placed")
-    small = placed.where("label != main").select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"))
-    across = small.join(placed, "bucket").where((F.col("lx") != F.col("label")) & (F.col("x") != F.col("low")) & (
-        F.col("node") != F.col("low"))).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-    more = materialise(verified(likely(across.distinct(), signs, threshold), texts, threshold), "minhash-links")
-    return connected_components(links.union(more))
+    # 3. pairs of a bucket that are still in different classes, that no bound rules out and that have not met yet
+    placed = _divided(placed.drop("label"), classes)
+    placed = materialise(placed.where("node != low AND node != middle"), "minhash-placed")
+    main = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
+        F.max(F.struct("n", "label")).alias("top")).select("bucket", F.col("top.label").alias("main"))
+    own_buckets = placed.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))      # at most one per band
+    placed = placed.join(main, "bucket").join(own_buckets, "node")
+    other = placed.where("label != main").select(
+        "bucket", *[F.col(c).alias(f"{c}_") for c in ("node", "label", "n_shingles", "own", "buckets")])
+    common = F.least(F.col("n_shingles") - F.col("own"), F.col("n_shingles_") - F.col("own_"))
+    either = F.greatest(F.col("n_shingles") + F.col("own_"), F.col("n_shingles_") + F.col("own"))
+    both_other = F.col("label") != F.col("main")
+    across = other.join(placed, "bucket").where(
+        (F.col("label_") != F.col("label")) & (~both_other | (F.col("node_") < F.col("node")))
+        & (100 * common >= threshold * either)
+        & (F.array_min(F.array_intersect("buckets", "buckets_")) == F.col("bucket"))).select(
+        F.least("node_", "node").alias("a"), F.greatest("node_", "node").alias("b"))
+    more = materialise(verified(likely(across, signs, threshold), texts, threshold), "minhash-links")
+    return classes if more.isEmpty() else connected_components(links.union(more))
+
+
+def _divided(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """``members`` with their class ``label``, of the buckets that hold more than one class."""
+    placed = members.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    divided = placed.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
+    return placed.join(divided.select("bucket"), "bucket", "left_semi")
+
+
+def own_shingles(placed: DataFrame, texts: DataFrame, sizes: DataFrame, threshold: int) -> DataFrame:
+    """``placed`` with ``n_shingles`` and ``own``, the shingles of a node that no other placed node has.
+
+    They bound a pair's similarity: at most (n - own) shingles are common. A node whose own shingles alone keep it
+    below the threshold is left out, it has no link; in a large group of loose copies these are the most.
+    """
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(t.as_py()).view(np.int64) for t in batch.column(1)]
+            nodes = np.repeat(batch.column(0).to_numpy(), [len(x) for x in found])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(found))], ["node", "shingle"])
+
+    nodes = placed.select("node").distinct()
+    items = texts.join(nodes, "node", "left_semi").select("node", "t").mapInArrow(explode, "node long, shingle long")
+    single = items.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
+    own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    counted = nodes.join(sizes, "node").join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    can_link = counted.where(100 * (F.col("n_shingles") - F.col("own")) >= threshold * F.col("n_shingles"))
+    return placed.join(can_link, "node")
 
 
 def near_duplicates(docs: DataFrame, threshold: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
