@@ -41,11 +41,6 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def words_of(text: str | None) -> list[str]:
-    """Lower-cased (A-Z) words, split at ASCII white space."""
-    return [w.decode() for w in (text or "").encode().lower().split()]
-
-
 def count_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(word, n, n_train) over every row; the end token is the empty word."""
 
