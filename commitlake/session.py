@@ -66,6 +66,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, *parts]) if parts else root
 
 
+def remove_scratch(spark: SparkSession, *parts: str) -> None:
+    """Delete a folder of intermediate tables (``rank``, ``batches``, ``llm`` ...) under the shared folder.
+
+    Lazy results read from these folders; call this once they have been written elsewhere.
+    """
+    if not parts:
+        raise ValueError("name the folder to delete")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark, *parts))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size of the files under ``paths`` (one namenode/object-store summary call per path)."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

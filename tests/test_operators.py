@@ -159,6 +159,15 @@ def test_tune_shuffle_partitions_only_raises(spark):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
 
 
+def test_remove_scratch(spark):
+    from commitlake.session import remove_scratch
+    path = shared_dir(spark, "tests", "to-remove")
+    spark.range(3).write.mode("overwrite").parquet(path)
+    remove_scratch(spark, "tests", "to-remove")
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    assert not hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def test_global_rank_empty_input(spark):
     df = spark.createDataFrame([], "id long, score long")
     assert global_rank(df, [F.col("score").desc(), F.col("id")], "rk").count() == 0
