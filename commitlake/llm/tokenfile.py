@@ -19,6 +19,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from typing import BinaryIO
 from urllib.parse import unquote, urlparse
@@ -31,11 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from commitlake.llm.bpe import byte_symbols
 from commitlake.llm.common import Cache, materialise, prepare
 
 FRAME_IDS = 1 << 18        # ids after which a frame is closed
 LEVEL = 1                  # zstandard level
-CACHE_SIZE = 600_000       # words remembered per worker
+CACHE_SIZE = 1_200_000     # words remembered per worker (some 200 bytes each)
+
+LATIN = "\u024f"           # last letter of the Latin blocks
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE_INDEX = 0x184D2A50
@@ -155,9 +159,17 @@ class Reader:
 _encoders: dict[str, WordEncoder] = {}
 
 
+def stem(word: bytes) -> int:
+    """The length of ``word`` without the stops behind its last letter: a pre-token ends there."""
+    core = word.rstrip(b".,")
+    return len(core) if core and core.decode()[-1].lower()[-1].isalpha() else len(word)
+
+
 class WordEncoder:
-    """Encodes texts with a tokenizer whose pre-tokens never span white space: distinct words are encoded once and
-    remembered, as little-endian bytes, so that a text's ids are a join of byte strings."""
+    """Encodes texts with a lower-casing tokenizer whose pre-tokens span neither white space nor the end of a word before
+    stops: distinct words are encoded once and remembered, as little-endian bytes, so that a text's ids are a join of
+    byte strings. Unknown words go straight to the merges if they are plain letters, and are otherwise encoded many at
+    a time, with a special token between them to cut at."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -165,25 +177,71 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.cut = min((t for t in self.tokenizer.get_added_tokens_decoder().items() if t[1].special), key=lambda t: t[0])
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the cache: a worker outlives its task."""
         self.words = Cache(CACHE_SIZE)
 
+    def as_symbols(self, word: bytes) -> str | None:
+        """The symbols of the one pre-token that ``word`` is, where that is plain to see: Latin letters, which lower case
+        and composition treat one by one. NULL for any other word."""
+        if word.isalpha() and word.islower():
+            return word.decode()
+        text = word.decode()
+        if not text.isalpha() or max(text) > LATIN or "\u0130" in text:
+            return None
+        return text.lower().encode().decode("latin-1").translate(self.symbols)
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word; ``words`` hold no special token."""
+        number, token = self.cut
+        text = token.content.join([w.decode() for w in words])
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        cuts, raw = np.flatnonzero(ids == number), ids.tobytes()
+        return [raw[4 * a:4 * b] for a, b in zip([0, *(cuts + 1)], [*cuts, len(ids)])]
+
     def encode(self, text: str) -> bytes:
-        words = text.encode().split()
+        data = text.encode()
+        if b"<" in data and any(t in text for t in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        words = data.lower().split()
+        if b"<|" in data:                  # lower case could make a special token of a word: encode these as they are
+            words = data.split()
         found = list(map(self.words.young.get, words))
         missing = [i for i, ids in enumerate(found) if ids is None]
-        new: dict[bytes, bytes] = {}
-        for i in missing:
-            if (ids := self.words.get(words[i])) is None:
-                new[words[i]] = b""
-            found[i] = ids
-        if new:
-            for word, got in zip(new, self.tokenizer.encode_batch_fast(
-                    [w.decode() for w in new], add_special_tokens=False)):
-                new[word] = np.array(got.ids, "<u4").tobytes()
-                self.words.put(word, new[word])
+        if missing:
+            parts: dict[bytes, bytes | None] = {}
+            for i in missing:
+                word = words[i]
+                if (ids := self.words.get(word)) is None:
+                    n = stem(word)
+                    parts[word[:n]] = parts[word[n:]] = None
+                found[i] = ids
+            unknown = []
+            for part in parts:
+                if (ids := self.words.get(part) if part else b"") is None:
+                    unknown.append(part)
+                parts[part] = ids
+            other = []
+            for part in unknown:
+                symbols = self.as_symbols(part)
+                if symbols is None:
+                    other.append(part)
+                else:
+                    parts[part] = array("I", [t.id for t in self.tokenizer.model.tokenize(symbols)]).tobytes()
+            if other:
+                parts.update(zip(other, self.encode_words(other)))
+            for part in unknown:
+                self.words.put(part, parts[part])
             for i in missing:
                 if found[i] is None:
-                    found[i] = new[words[i]]
+                    n = stem(words[i])
+                    found[i] = parts[words[i][:n]] + parts[words[i][n:]]
+                    self.words.put(words[i], found[i])
         return b"".join(found)
 
 
@@ -208,6 +266,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int, folder: str, id_
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 out = out or Writer(uri)
                 out.add(doc_id.as_py(), code.encode(text.as_py() or "") + end)
+        code.forget()
         if out:
             n_docs, n_ids = out.close()
             yield pa.RecordBatch.from_arrays(
