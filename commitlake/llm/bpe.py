@@ -26,7 +26,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from commitlake.llm.common import Cache, prepare
 
-CACHE_SIZE = 1_200_000     # words, and pre-tokens, remembered per worker (some 200 bytes each)
+CACHE_SIZE = 1_000_000     # words, and pre-tokens, remembered during a task (some 200 bytes each)
 BEFORE_WORD = re.compile(r" (?=\S)")    # a pre-token starts here, whatever stands before
 
 
@@ -59,6 +59,10 @@ class ByteBpe:
         self.numbers = [str(i) for i in range(len(self.strings))]
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.split = ByteLevel(add_prefix_space=False, use_regex=True)    # the published split into pre-tokens
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the caches: a worker outlives its task, and other operators' tasks follow in it."""
         self.tokens, self.words = Cache(CACHE_SIZE), Cache(CACHE_SIZE)
 
     def merge(self, token: bytes) -> list[int]:
@@ -158,6 +162,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", i
             texts = batch.column(batch.schema.get_field_index("t"))
             ids = pa.array([bpe.encode(t.as_py() or "") for t in texts], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["row", "ids"])
+        bpe.forget()
 
     rest = docs.drop(ids_col)
     packed = rest.select(F.struct("*").alias("row"), F.col(text_col).alias("t"))
@@ -201,6 +206,7 @@ def token_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
                  pa.array(text_sha, pa.string())], ["k", "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     out = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).mapInArrow(
         digest, f"k {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -138,6 +138,7 @@ def profiles(docs: DataFrame, threshold: int, id_col: str, text_col: str) -> Dat
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
                  pa.array(bands, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
                 ["k", "text_key", "n_shingles", "node", "bands", "signature"])
+        _hashes.clear()                    # the worker outlives this task
 
     texts = docs.select(F.col(id_col).alias("k"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("t"))
     return texts.mapInArrow(profile, f"k {kind}, text_key long, {PROFILE}")
