@@ -26,7 +26,8 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from commitlake.llm.common import Cache, prepare
 
-CACHE_SIZE = 1_000_000     # words, and pre-tokens, remembered during a task (some 200 bytes each)
+CACHE_SIZE = 1_200_000     # words, and pre-tokens, remembered per worker (some 200 bytes each)
+STAGE_CACHE = 300_000      # the same where the encoder shares its workers with other stages; released with the task
 BEFORE_WORD = re.compile(r" (?=\S)")    # a pre-token starts here, whatever stands before
 
 
@@ -40,7 +41,8 @@ def byte_symbols() -> list[str]:
 class ByteBpe:
     """Encoder and decoder of one byte-level BPE file in the tokenizers library's JSON format."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_size: int | None = None):
+        self.cache_size = cache_size or CACHE_SIZE
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         symbols = byte_symbols()
@@ -63,7 +65,7 @@ class ByteBpe:
 
     def forget(self) -> None:
         """Empty the caches: a worker outlives its task, and other operators' tasks follow in it."""
-        self.tokens, self.words = Cache(CACHE_SIZE), Cache(CACHE_SIZE)
+        self.tokens, self.words = Cache(self.cache_size), Cache(self.cache_size)
 
     def merge(self, token: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -142,14 +144,15 @@ class ByteBpe:
         return ",".join(map(self.numbers.__getitem__, ids))
 
 
-_loaded: dict[str, ByteBpe] = {}
+_loaded: dict[tuple, ByteBpe] = {}
 
 
-def loaded(path: str) -> ByteBpe:
+def loaded(path: str, cache_size: int | None = None) -> ByteBpe:
     """The encoder of ``path``, read once per Python worker."""
-    if path not in _loaded:
-        _loaded[path] = ByteBpe(path)
-    return _loaded[path]
+    key = (path, cache_size)
+    if key not in _loaded:
+        _loaded[key] = ByteBpe(path, cache_size)
+    return _loaded[key]
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
@@ -157,7 +160,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", i
     prepare(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(vocabulary)
+        bpe = loaded(vocabulary, STAGE_CACHE)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("t"))
             ids = pa.array([bpe.encode(t.as_py() or "") for t in texts], pa.list_(pa.int32()))
@@ -206,7 +209,6 @@ def token_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
                  pa.array(text_sha, pa.string())], ["k", "n_tokens", "ids_sha256", "decoded_sha256"])
-        bpe.forget()
 
     out = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).mapInArrow(
         digest, f"k {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
