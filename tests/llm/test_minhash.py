@@ -1,6 +1,8 @@
+import math
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -104,6 +106,23 @@ def test_pruning_misses_seldom():
         assert (1 - (t / 100) ** rows) ** bands <= minhash.BAND_MISS
 
 
+@pytest.mark.parametrize("threshold", [80, 85])
+def test_miss_chance_in_the_readme(threshold):
+    """The exact chance that a pair at the threshold shares no bucket or falls out at one of the batches."""
+    t, passed, lost = threshold / 100, {0: 1.0}, 0.0
+    for fewest in minhash.fewest_matches(threshold):
+        after = Counter()
+        for m, p in passed.items():
+            for j in range(minhash.BATCH + 1):
+                after[m + j] += p * math.comb(minhash.BATCH, j) * t ** j * (1 - t) ** (minhash.BATCH - j)
+        passed = {m: p for m, p in after.items() if m >= fewest}
+        lost += sum(p for m, p in after.items() if m < fewest)
+    rows, bands = minhash.banding(threshold)
+    readme = (Path(__file__).parents[2] / "README.md").read_text()
+    stated = float(re.search(r"misses a pair\s+at the threshold with a chance of some (\S+)", readme)[1])
+    assert round(lost + (1 - t ** rows) ** bands, 5) == stated
+
+
 def test_components(spark):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 50)] + [
