@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import bpe, fingerprint, lm, minhash, mixing, pii, quality, sharding, suffix, tokenfile
+from commitlake.llm import (
+    bpe, dialogue, fingerprint, lexical, lm, minhash, mixing, pii, quality, sharding, suffix, tokenfile, urlrules,
+)
 from commitlake.llm.common import documents, scratch_path
 from commitlake.llm.oracle import ORACLE_SQL
 
@@ -61,9 +63,22 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_table(documents(spark, sf_dir))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search_documents(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.judge_urls(documents(spark, sf_dir, "pages"), documents(spark, sf_dir, "labels"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = documents(spark, sf_dir, "conversations")
+    return dialogue.audit_table(dialogue.damaged(talks), talks)
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_mixing, op4_bpe, op5_pii, op6_token_files, op7_sharding,
-                          op8_lm_scoring, op9_minhash, op10_fingerprints)
+                          op8_lm_scoring, op9_minhash, op10_fingerprints, op11_lexical_search, op12_url_rules, op13_conversation_repair)
 }
