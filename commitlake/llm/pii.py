@@ -2,20 +2,22 @@
 
 Base: e-mail addresses, IP addresses, card and phone numbers, each found from left to right without overlap; a match
 that fails its check is dropped. Method: every distinct base value is a protected entity with information content
-IC(e) = -log2 P(e). A term is a word outside the base spans. Over the whole corpus
+IC(e) = -log2 P(e). A term is a word outside the base spans. Over the whole corpus, with n_e, n_t and n_te the numbers
+of different texts that hold the entity, the term and both,
 
-    disclosure(t, e) = log2(P(e|t) / P(e)) / IC(e),  P(e|t) = (n_te + SUPPORT * P(e)) / (n_t + SUPPORT)
+    PMI(t; e) = log2(P(e|t) / P(e)),    left(t, e) = IC(e) - PMI(t; e) = -log2 P(e|t)
 
-with n_t and n_e counting documents and n_te different texts that hold both (copies of one text count once): PMI over
-IC, with P(e|t) shrunk towards P(e) as if the term had been seen in ``SUPPORT`` more documents. It nears 1 for a term
-that is often found, and with this entity only, and is lower the less there is to go by; no pair is left out beforehand.
-Terms are generalised from ``GENERALISE`` on and removed from ``REMOVE`` on (by the highest score with any entity),
-wherever they stand: in every document, also in those without base spans.
+are the bits that a term tells about an entity and the bits that stay hidden. P(e|t) is the lower end of its 95 % credible
+interval (Wilson's formula for n_te of n_t): a single meeting leaves 1.9 bits, three out of three 0.9, and neither depends
+on the size of the corpus. A term is generalised where at most ``GENERALISE`` bits are left of an entity of which it tells
+at least ``GAIN`` bits, and removed where at most ``REMOVE`` bits are left, wherever it stands: in every document, also in
+those without base spans. Copies of a text count once, so they lose the same terms as one.
 
-Everything is made of DataFrame functions. Only texts with base spans carry pairs into the co-occurrence counts, which
-combine before they shuffle; an entity or a term in a third of all documents is one partial row per task. The disclosing
-terms meet the distinct words of all documents in a join by term: broadcast while they are few, else sorted with skewed
-terms split. Places are looked up in the documents that hold one.
+Everything is made of DataFrame functions. Only texts with base spans make pairs of entities and terms, and of these only
+pairs that could reach the threshold if they met as often as n_e and n_t allow (the bound rises with n_te, so nothing is
+lost). Term counts shuffle combined. The disclosing terms go to the texts as a bitmap of hashes, of a size that does not
+exceed ``MOST_BITS``; words whose bit is set get their places inside the row, and only these few meet the terms themselves
+in a join. Texts are exchanged only where they are rewritten.
 
 Defined cases: a NULL or empty text has no spans and stays as it is; equal rows have equal spans; an empty table has no
 rows; NULL ids are kept; other columns are carried along.
@@ -23,14 +25,22 @@ rows; NULL ids are kept; other columns are carried along.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitlake.llm.common import materialise, prepare
 
-SUPPORT = 3                # documents by which P(e|t) is shrunk towards P(e)
-GENERALISE = 0.75
-REMOVE = 0.95
+GENERALISE = 1.0           # bits of an entity that a term may leave hidden, at most, to be generalised
+REMOVE = 0.15              # and to be removed
+GAIN = 1.0                 # bits that it tells, at least: an entity in most texts is no secret
+Z = 1.6448536269514722     # quantile of the normal distribution for a one-sided level of 95 %
+
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27       # of the bitmap of term hashes
+BITS_PER_TERM = 64
+STRETCH = 1000             # words of a text whose places are found in one fold
 
 KINDS = ("email", "ip", "card", "phone")       # fixed values, in the order of the contract
 # The contract's patterns with the same matches. Loops are possessive, which Java runs without recursion, and a run of
@@ -138,55 +148,124 @@ def _distinct(values: Column) -> Column:
     return F.array_distinct(F.transform(F.array_distinct(values), F.lower))
 
 
-def places(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, start, end, term): the words of ``text``; the lengths before a word, summed in a window, give its place."""
-    rows = rows.withColumn("_found", F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
-    steps = F.zip_with(F.slice(F.split(text, TERM, -1), F.lit(1), F.size("_found")), "_found", lambda p, m: F.struct(
-        F.length(p).alias("skip"), F.length(m).alias("n"), F.lower(m).alias("term")))
-    each = rows.select(key, F.posexplode_outer(steps).alias("i", "w"))
-    end = F.sum(F.col("w.skip") + F.col("w.n")).over(
-        Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)).cast("int")
-    return each.select(key, end.alias("end"), "w.n", "w.term").select(
-        key, (F.col("end") - F.col("n")).alias("start"), "end", "term")
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also inside other lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
+def places(text: Column, wanted: Callable[[Column], Column]) -> Column:
+    """(start, end, term) of the words of ``text`` whose lower case is ``wanted``; stretches of words are folded one by
+    one, so that a long text does not copy a long list of places for each of them."""
+    words = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    steps = let(words, lambda w: F.zip_with(F.slice(F.split(text, TERM, -1), F.lit(1), F.size(w)), w, lambda p, m: F.struct(
+        F.length(p).alias("skip"), m.alias("word"))))
+    none = F.array().cast("array<struct<start:int,end:int,term:string>>")
+
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + x["skip"]
+        end = begin + F.length(x["word"])
+        place = F.struct(begin.alias("start"), end.alias("end"), F.lower(x["word"]).alias("term"))
+        return F.struct(end.alias("at"), F.when(wanted(F.lower(x["word"])), F.array_append(acc["found"], place)).otherwise(
+            acc["found"]).alias("found"))
+
+    def stretches(all_: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), none.alias("found"))
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / STRETCH).cast("int")), lambda i: F.aggregate(
+            F.slice(all_, i * STRETCH + 1, F.lit(STRETCH)), start, step))
+
+    def offsets(parts: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before"))
+        return F.aggregate(parts, start, lambda acc, x: F.struct(
+            (acc["at"] + x["at"]).alias("at"), F.array_append(acc["before"], acc["at"]).alias("before")), lambda acc: acc["before"])
+
+    def shifted(part: Column, by: Column) -> Column:
+        return F.transform(part["found"], lambda f: F.struct(
+            (f["start"] + by).alias("start"), (f["end"] + by).alias("end"), f["term"].alias("term")))
+
+    return let(steps, lambda all_: F.when(F.size(all_) > 0, let(stretches(all_), lambda parts: F.flatten(
+        F.zip_with(parts, offsets(parts), shifted)))).otherwise(none))
+
+
+def likely(met: Column, of: Column) -> Column:
+    """Lower end of the credible interval of P(e|t), from ``met`` of ``of`` texts."""
+    met, of = met.cast("double"), of.cast("double")
+    return (met + Z * Z / 2 - Z * F.sqrt(met * (of - met) / of + Z * Z / 4)) / (of + Z * Z)
 
 
 def disclosing(met: DataFrame, words: DataFrame, n: int) -> DataFrame:
-    """(term, disclosure) at or above ``GENERALISE``. ``met`` has text_key, entities and terms of every document with base
-    spans, ``words`` one row per document and term; ``n`` is the number of documents."""
-    n_e = met.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    n_t = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    pairs = met.dropDuplicates(["text_key"]).select(F.explode("entities").alias("entity"), "terms").select(
-        "entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"))
-    scored = pairs.join(n_e, "entity").join(n_t, "term")
-    p_e = F.col("n_e") / F.lit(float(max(1, n)))
-    pmi = F.log2((F.col("n_te") + SUPPORT * p_e) / (F.col("n_t") + SUPPORT) / p_e)
-    ic = -F.log2(p_e)
-    return scored.select("term", F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0)).alias("disclosure")).where(
-        F.col("disclosure") >= GENERALISE).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    """(term, hidden): the terms to generalise or remove and the fewest bits that they leave hidden. ``met`` has text_key,
+    entities and terms of every different text with base spans, ``words`` one row per different text and term; ``n`` is
+    the number of different texts."""
+    could = lambda k, of: likely(F.least(k, of), of) >= 2.0 ** -GENERALISE  # noqa: E731  the bound rises with the meetings
+    count = F.count(F.lit(1))
+    n_t = words.groupBy("term").agg(count.alias("n_t")).where(could(F.col("n_t"), F.col("n_t")))
+    n_e = met.select(F.explode("entities").alias("entity")).groupBy("entity").agg(count.alias("n_e"))
+    n_e = n_e.where(could(F.col("n_e"), F.col("n_e")))
+    held = met.select("text_key", F.explode("entities").alias("entity")).join(n_e, "entity").groupBy("text_key").agg(
+        F.collect_list(F.struct("entity", "n_e")).alias("known"), F.max("n_e").alias("most"))
+    told = met.join(held, "text_key").select("known", "most", F.explode("terms").alias("term")).join(n_t, "term")
+    pairs = told.where(could(F.col("most"), F.col("n_t"))).select("term", "n_t", F.explode("known").alias("e"))
+    pairs = pairs.where(could(F.col("e.n_e"), F.col("n_t"))).groupBy("e.entity", "term").agg(
+        count.alias("n_te"), F.max("n_t").alias("n_t"), F.max("e.n_e").alias("n_e"))
+    hidden = -F.log2(likely(F.col("n_te"), F.col("n_t")))
+    scored = pairs.select("term", hidden.alias("hidden"), (F.log2(F.lit(float(max(1, n))) / F.col("n_e")) - hidden).alias("gain"))
+    return scored.where((F.col("hidden") <= GENERALISE) & (F.col("gain") >= GAIN)).groupBy("term").agg(F.min("hidden").alias("hidden"))
+
+
+def bitmap(telling: DataFrame) -> tuple[DataFrame, int]:
+    """One row with the bitmap of the terms' hashes (``bits``, 64 a word), and its size, which follows their number."""
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << math.ceil(math.log2(max(1, telling.count() * BITS_PER_TERM)))))
+    slot = telling.select(F.xxhash64("term").bitwiseAND(F.lit(size - 1)).alias("slot"))
+    words = slot.groupBy(F.shiftright("slot", 6).alias("id")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("word"))
+    every = telling.sparkSession.range(size // 64).join(words, "id", "left")
+    each = F.struct("id", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
+    return every.agg(F.transform(F.array_sort(F.collect_list(each)), lambda x: x["word"]).alias("bits")), size
+
+
+def likely_places(rows: DataFrame, telling: DataFrame) -> DataFrame:
+    """(doc, start, end, term) of the words of ``rows`` (doc, t, base) whose bit is set."""
+    bits, size = bitmap(telling)
+
+    def wanted(word: Column) -> Column:
+        h = F.xxhash64(word)
+        word_at = F.get(F.col("bits"), F.shiftright(h.bitwiseAND(F.lit(size - 1)), 6).cast("int"))
+        return F.getbit(word_at, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    clean = _clean("t", "base")
+    some = F.exists(F.regexp_extract_all(clean, F.lit(TERM), F.lit(0)), lambda w: wanted(F.lower(w)))
+    bits = materialise(bits.withColumn("every", F.lit(0).cast("long")), "pii-bits")
+    marked = rows.join(F.broadcast(bits), F.col("doc") % 1 == F.col("every"))        # a key that every row has
+    found = marked.select("doc", F.when(some, let(clean, lambda c: places(c, wanted))).alias("likely"))
+    return found.select("doc", F.explode_outer("likely").alias("w")).select("doc", "w.start", "w.end", "w.term").where(
+        "term IS NOT NULL")
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``id``, ``text_key`` (a hash of the text), ``base`` spans and ``terms``, the
-    disclosing terms as (start, kind, end, value) with value ``generalise`` or ``remove``; both NULL for none."""
+    """One row per row of ``docs``: ``rest`` (its columns but the text), ``id``, ``t`` (the text), ``base`` spans and
+    ``terms``, the disclosing terms as (start, kind, end, value) with value ``generalise`` or ``remove``; both spans NULL
+    for none."""
     prepare(docs.sparkSession)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    rows = with_base(texts, "t", "base").withColumn("text_key", F.xxhash64("t"))
-    rows = rows.withColumn("doc", F.monotonically_increasing_id())
-    rows = materialise(rows.select("id", "text_key", "doc", "base", "t"), "pii-base")
-    flagged = F.col("base").isNotNull()
-    found = F.regexp_extract_all(_clean("t", "base"), F.lit(TERM), F.lit(0))
-    met = materialise(rows.where(flagged).select("doc", "text_key", _distinct(F.col("base")["value"]).alias("entities"),
-                                                 _distinct(found).alias("terms")), "pii-words")
-    plain = rows.where(~flagged).select("doc", _distinct(F.regexp_extract_all("t", F.lit(TERM), F.lit(0))).alias("terms"))
+    rest = F.struct(*[c for c in docs.columns if c != text_col])
+    texts = docs.select(rest.alias("rest"), F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    rows = with_base(texts, "t", "base").withColumn("text_key", F.xxhash64("t")).withColumn("doc", F.monotonically_increasing_id())
+    rows = materialise(rows, "pii-base")
+    copied = rows.where("t IS NOT NULL").groupBy("text_key").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first"))
+    copied = materialise(copied, "pii-texts")
+    n, copied = copied.count(), copied.where("n > 1").select("text_key", "first")
+    single = rows.where("t IS NOT NULL").select("text_key", "doc", "base", "t").join(copied, "text_key", "left").where(
+        "first IS NULL OR first = doc")
+    terms = _distinct(F.regexp_extract_all(_clean("t", "base"), F.lit(TERM), F.lit(0)))
+    met = materialise(single.where("base IS NOT NULL").select(
+        "text_key", _distinct(F.col("base")["value"]).alias("entities"), terms.alias("terms")), "pii-met")
     # an outer explode: for an inner one Spark adds a filter, for which the words are looked for twice
-    words = plain.unionByName(met.select("doc", "terms")).select("doc", F.explode_outer("terms").alias("term"))
-    telling = materialise(disclosing(met, words, rows.count()), "pii-telling")
-    action = F.when(F.col("disclosure") >= REMOVE, F.lit("remove")).otherwise(F.lit("generalise"))
-    held = materialise(words.join(telling, "term").select("doc", "term", action.alias("action")), "pii-held")
-    texts = rows.join(held.select("doc").distinct(), "doc", "left_semi").select("doc", _clean("t", "base").alias("t"))
-    spans = places(texts, "doc", "t").join(held, ["doc", "term"]).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct(
-        "start", F.lit(len(KINDS)).alias("kind"), "end", F.col("action").alias("value")))).alias("terms"))
-    return rows.select("id", "text_key", "doc", "base").join(spans, "doc", "left").drop("doc")
+    words = single.select(F.explode_outer(terms).alias("term"))
+    telling = materialise(disclosing(met, words, n), "pii-telling")
+    found = likely_places(rows.select("doc", "t", "base"), telling).join(telling, "term")
+    action = F.when(F.col("hidden") <= REMOVE, F.lit("remove")).otherwise(F.lit("generalise"))
+    spans = materialise(found.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct(
+        "start", F.lit(len(KINDS)).alias("kind"), "end", action.alias("value")))).alias("terms")), "pii-spans")
+    return rows.join(spans, "doc", "left").select("rest", "id", "t", "base", "terms")
 
 
 def pii_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -217,18 +296,14 @@ def sanitised(text: Column, spans: Column) -> Column:
 def sanitise_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        length_col: str | None = "n_chars") -> DataFrame:
     """``docs`` with personal data replaced in ``text_col`` and ``length_col``, where there is one, brought up to date."""
-    found = find_personal_data(docs, id_col, text_col).where("base IS NOT NULL OR terms IS NOT NULL")
     none = F.array().cast(f"array<{Span}>")
-    found = found.groupBy(F.col("id").alias("f_id"), "text_key").agg(F.first(F.concat(
-        F.coalesce("base", none), F.coalesce("terms", none))).alias("spans"))
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"))
-    rows = rows.join(found, rows["id"].eqNullSafe(found["f_id"]) & (rows["key"] == found["text_key"]), "left")
-    rows = rows.withColumn("new", F.when(F.col("spans").isNotNull(), sanitised(
-        F.col("row")[text_col], F.array_sort("spans"))).otherwise(F.col("row")[text_col]))
-    columns = {c: F.col("row")[c].alias(c) for c in docs.columns}
-    columns[text_col] = F.col("new").alias(text_col)
+    spans = F.array_sort(F.concat(F.coalesce("base", none), F.coalesce("terms", none)))
+    touched = F.col("base").isNotNull() | F.col("terms").isNotNull()
+    rows = find_personal_data(docs, id_col, text_col).select("rest", touched.alias("touched"), F.when(
+        touched, let(spans, lambda s: sanitised(F.col("t"), s))).otherwise(F.col("t")).alias("new"))
+    columns = {c: (F.col("new") if c == text_col else F.col("rest")[c]).alias(c) for c in docs.columns}
     if length_col in columns:
         kind = dict(docs.dtypes)[length_col]
-        columns[length_col] = F.when(F.col("spans").isNotNull(), F.length("new").cast(kind)).otherwise(
-            F.col("row")[length_col]).alias(length_col)
+        columns[length_col] = F.when(F.col("touched"), F.length("new").cast(kind)).otherwise(
+            F.col("rest")[length_col]).alias(length_col)
     return rows.select(*columns.values())

@@ -1,8 +1,11 @@
 import hashlib
+import math
 import random
 import re
+from collections import defaultdict
 
 import pytest
+import regex
 
 from commitlake.llm import pii
 
@@ -64,29 +67,132 @@ def told(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
 
 
+Z2 = 1.6448536269514722 ** 2
+
+
+def likely(met, of):
+    return (met + Z2 / 2 - math.sqrt(Z2) * math.sqrt(met * (of - met) / of + Z2 / 4)) / (of + Z2)
+
+
+def brute_spans(texts):
+    """All spans of each text: every entity with every word of the corpus, by definition."""
+    clean, entities = {}, {}
+    for t in {t for t in texts if t is not None}:
+        base = brute(t)
+        chars = list(t)
+        for start, _, end, _ in base:
+            chars[start:end] = " " * (end - start)
+        clean[t] = "".join(chars)
+        entities[t] = {t[s:e].lower() for s, _, e, _ in base}
+    words = {t: {m.group().lower() for m in regex.finditer(pii.TERM, c)} for t, c in clean.items()}
+    with_term, with_entity = defaultdict(set), defaultdict(set)
+    for t in clean:
+        for w in words[t]:
+            with_term[w].add(t)
+        for e in entities[t]:
+            with_entity[e].add(t)
+    hidden = {}
+    for e, own in with_entity.items():
+        for w in {w for t in own for w in words[t]}:
+            left = -math.log2(likely(len(own & with_term[w]), len(with_term[w])))
+            if left <= pii.GENERALISE and math.log2(len(clean) / len(own)) - left >= pii.GAIN:
+                hidden[w] = min(hidden.get(w, 9), left)
+    out = {}
+    for t in clean:
+        found = [(s, i, e, kind) for s, i, e, kind in brute(t)]
+        found += [(m.start(), 4, m.end(), "term") for m in regex.finditer(pii.TERM, clean[t]) if m.group().lower() in hidden]
+        out[t] = ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(found))
+    return out, hidden
+
+
+def spans_of(frame):
+    return sorted(((r.doc_id is None, r.doc_id or 0), r.spans) for r in pii.pii_table(frame).collect())
+
+
+def check_all_spans(frame):
+    rows = [(r.doc_id, r.text) for r in frame.select("doc_id", "text").collect()]
+    want, hidden = brute_spans([t for _, t in rows])
+    assert spans_of(frame) == sorted(((d is None, d or 0), want.get(t, "")) for d, t in rows)
+    return hidden
+
+
 def test_terms_that_disclose_an_entity(told):
-    rows = {r.doc_id: r for r in pii.find_personal_data(told).withColumnRenamed("id", "doc_id").collect()}
+    rows = {r.id: r for r in pii.find_personal_data(told).collect()}
     texts = {r.doc_id: r.text for r in told.collect()}
     for i in range(8):
         values = {texts[i][s.start:s.end] for s in rows[i].terms}
         assert "zebra" in values and "people" not in values
     assert all(rows[20 + i].terms is None and rows[20 + i].base is None for i in range(60))
-    assert all(rows[90 + i].terms is None for i in range(5)), "copies of one passage are one surrounding"
-
-
-def test_disclosure_by_brute_force(told):
-    import math
-    found = pii.find_personal_data(told).collect()
-    texts = {r.doc_id: r.text for r in told.collect()}
-    words = {d: set(re.findall(r"[^\W\d_][\w'-]{2,}", t)) for d, t in texts.items()}
-    n, n_e = len(texts), 8
-    for t in {w for d in range(8) for w in words[d]}:
-        near = [d for d in range(8) if t in words[d]]
-        if len(near) < pii.SUPPORT or t in ("anna", "org"):
-            continue
-        value = math.log2(n * len(near) / (sum(t in w for w in words.values()) * n_e)) / math.log2(n / n_e)
-        marked = any(texts[r.id][s.start:s.end] == t for r in found if r.terms for s in r.terms)
-        assert marked == (value >= pii.GENERALISE), (t, value)
+    assert all(rows[90 + i].terms is None for i in range(5)), "copies of one text are one meeting"
+
+
+def test_all_spans_by_brute_force(told):
+    assert "zebra" in check_all_spans(told)
+
+
+def test_all_spans_of_edge_tables_by_brute_force(spark, edge, clashing):
+    check_all_spans(edge)
+    check_all_spans(clashing)
+    hostile = [(i, t) for i, t in enumerate(odd_texts()) if t is None or len(t) < 5000]
+    hostile += [(i, f"{t} okapi éland q@r.st okapi") for i, t in hostile[:30] if t]
+    hidden = check_all_spans(spark.createDataFrame(hostile * 2, "doc_id long, text string").repartition(3))
+    assert {"okapi", "éland"} <= set(hidden)
+
+
+def corpus_with_planted_terms(n=1500):
+    """Documents of common and rare words; forty people have an address and an odd name that stand together in some texts."""
+    rng = random.Random(2)
+    common = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
+    letters = lambda i: "".join(chr(97 + int(d)) for d in f"{i:05}")
+    rows, planted = [], set()
+    for i in range(n):
+        text = rng.choices(common, [1 / (k + 1) for k in range(400)], k=60) + [f"rare{letters(i)}x{k}y" for k in range(3)]
+        rows.append((i, text))
+    for p in range(40):
+        met = rng.randrange(1, 12)
+        for i in rng.sample(range(n), met):
+            rows[i][1].extend([f"name{letters(p)}", f"p{p}@mail.org"])
+        if met >= 3:
+            planted.add(f"name{letters(p)}")
+    for i, text in rows:
+        rng.shuffle(text)
+    return [(i, " ".join(t)) for i, t in rows], planted
+
+
+def test_precision_on_planted_terms(spark):
+    rows, planted = corpus_with_planted_terms()
+    hidden = set(check_all_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    assert planted <= hidden, "names that three or more texts tie to their address are found"
+    assert len(hidden & planted) >= 0.95 * len(hidden), "and hardly an ordinary word with them"
+
+
+@pytest.mark.parametrize("copies", [1, 20])
+def test_copies_lose_the_same_terms_as_one(spark, copies):
+    rows, _ = corpus_with_planted_terms(600)
+    once = dict(spans_of(spark.createDataFrame(rows, "doc_id long, text string")))
+    touched = [r for r in rows if "term" in once[(False, r[0])]][:3]
+    more = rows + [(10_000 + 100 * k + i, t) for i in range(copies) for k, (_, t) in enumerate(touched)]
+    again = dict(spans_of(spark.createDataFrame(more, "doc_id long, text string")))
+    assert touched and all(again[k] == v for k, v in once.items())
+    assert all(again[(False, 10_000 + 100 * k + i)] == once[(False, d)] for i in range(copies) for k, (d, _) in enumerate(touched))
+
+
+def test_the_level_does_not_loosen_with_the_corpus(spark):
+    rows = [(0, "quagga people wrote to eve@x.org today")] + [(i, f"people wrote about things today {i}") for i in range(1, 4000)]
+    for n in (50, 4000):
+        found = pii.find_personal_data(spark.createDataFrame(rows[:n], "doc_id long, text string")).where("id = 0").first()
+        assert found.terms is None, "one meeting is weak evidence, however many other texts there are"
+
+
+@pytest.mark.parametrize("stretch", [1, 7])
+def test_places_of_a_long_text(spark, monkeypatch, stretch):
+    monkeypatch.setattr(pii, "STRETCH", stretch)
+    rng = random.Random(1)
+    texts = [" ".join(rng.choices(["okapi", "Zebra", "é", "ünder", "a-b'c", "𝄞𝄞𝄞x", "12ab"], k=n)) for n in (0, 1, 6, 7, 8, 50, 3000)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in frame.select("text", pii.places(frame.text, lambda w: w.isin("okapi", "a-b'c", "ünder")).alias("p")).collect():
+        assert [tuple(x) for x in r.p] == [(m.start(), m.end(), m.group().lower()) for m in regex.finditer(pii.TERM, r.text)
+                                           if m.group().lower() in ("okapi", "a-b'c", "ünder")]
 
 
 def test_sanitised_texts(told):
@@ -114,12 +220,6 @@ def test_native(told):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
-def test_an_entity_met_once_gets_its_terms(spark):
-    rows = [(0, "quagga people wrote to eve@x.org today")] + [(i, f"people wrote about things today {i}") for i in range(1, 400)]
-    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).where("id = 0").first()
-    assert [rows[0][1][s.start:s.end] for s in found.terms] == ["quagga"]
-
-
 def test_disclosing_terms_far_from_the_entity_and_in_other_documents(spark):
     filler = "people wrote about things today " * 5
     rows = [(i, f"okapi {filler}{i} anna@x.org") for i in range(8)] + [(8, f"an OKAPI, {filler}"), (9, "okapi")]
