@@ -40,7 +40,7 @@ Z = 1.6448536269514722     # quantile of the normal distribution for a one-sided
 
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27       # of the bitmap of term hashes
 BITS_PER_TERM = 64
-STRETCH = 1000             # words of a text whose places are found in one fold
+STRETCH = 1000             # matches in a text whose places are found in one fold
 
 KINDS = ("email", "ip", "card", "phone")       # fixed values, in the order of the contract
 # The contract's patterns with the same matches. Loops are possessive, which Java runs without recursion, and a run of
@@ -82,24 +82,41 @@ def passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def located(text: Column, pattern: str, matches: Column, offset: Column, kind: int) -> Column:
-    """Spans of ``matches`` of ``pattern`` in ``text``: the pieces between them give their places."""
-    pieces = F.split(text, pattern, -1)
-    start = F.struct(offset.cast("int").alias("at"), F.array().cast(f"array<{Span}>").alias("found"))
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also inside other lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
+def located(text: Column, pattern: str, matches: Column, wanted: Callable[[Column], Column]) -> Column:
+    """(start, end, value) of the ``wanted`` ones of ``matches`` of ``pattern`` in ``text``: the pieces between matches give
+    their places. Stretches of matches are folded one by one, so that a long list of places is not copied for each."""
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
     def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["piece"])
+        begin = acc["at"] + x["skip"]
         end = begin + F.length(x["match"])
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["match"].alias("value"))
-        return F.struct(end.alias("at"), F.array_append(acc["found"], span).alias("found"))
+        place = F.struct(begin.alias("start"), end.alias("end"), x["match"].alias("value"))
+        return F.struct(end.alias("at"), F.when(wanted(x["match"]), F.array_append(acc["found"], place)).otherwise(
+            acc["found"]).alias("found"))
+
+    def stretches(steps: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), none.alias("found"))
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / STRETCH).cast("int")), lambda i: F.aggregate(
+            F.slice(steps, i * STRETCH + 1, F.lit(STRETCH)), start, step))
 
-    both = F.zip_with(F.slice(pieces, F.lit(1), F.size(matches)), matches,
-                      lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-    return F.aggregate(both, start, step, lambda acc: acc["found"])
+    def offsets(parts: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before"))
+        return F.aggregate(parts, start, lambda acc, x: F.struct(
+            (acc["at"] + x["at"]).alias("at"), F.array_append(acc["before"], acc["at"]).alias("before")), lambda acc: acc["before"])
 
+    def shifted(part: Column, by: Column) -> Column:
+        return F.transform(part["found"], lambda f: F.struct(
+            (f["start"] + by).alias("start"), (f["end"] + by).alias("end"), f["value"].alias("value")))
 
-def _checked(spans: Column, kind: str) -> Column:
-    return F.filter(spans, lambda s: passes(kind, s["value"]))
+    steps = let(matches, lambda found: F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found,
+                                                  lambda p, m: F.struct(F.length(p).alias("skip"), m.alias("match"))))
+    return let(steps, lambda every: F.when(F.size(every) > 0, let(stretches(every), lambda parts: F.flatten(
+        F.zip_with(parts, offsets(parts), shifted)))).otherwise(none))
 
 
 def _count(spans: Column, kind: int) -> Column:
@@ -113,11 +130,19 @@ def with_base(rows: DataFrame, text: str, out: str) -> DataFrame:
         found = F.regexp_extract_all(F.col(text), F.lit(PATTERNS[kind]), F.lit(0))
         rows = rows.withColumn(f"_{kind}", F.when(F.contains(F.col(text), F.lit(MARKS[kind])), found)
                                if kind in MARKS else found)
-    for i, kind in enumerate(KINDS):
+    none = F.array().cast(f"array<{Span}>")
+
+    def checked(kind: str, number: int) -> Column:
+        def good(match: Column) -> Column:
+            return passes(kind, match)
+
         matches = F.col(f"_{kind}")
-        spans = _checked(located(F.col(text), PATTERNS[kind], matches, F.lit(0), i), kind)
-        none = F.array().cast(f"array<{Span}>")
-        rows = rows.withColumn(f"_{kind}", F.when(F.coalesce(F.size(matches), F.lit(0)) > 0, spans).otherwise(none))
+        spans = F.transform(located(F.col(text), PATTERNS[kind], matches, good), lambda s: F.struct(
+            s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end"), s["value"].alias("value")))
+        return F.when(F.coalesce(F.exists(matches, good), F.lit(False)), spans).otherwise(none)
+
+    for i, kind in enumerate(KINDS):
+        rows = rows.withColumn(f"_{kind}", checked(kind, i))
     every = F.array_sort(F.concat(*[F.col(f"_{kind}") for kind in KINDS]))
     return rows.select(*keep, F.when(F.size(every) > 0, every).alias(out))
 
@@ -148,42 +173,9 @@ def _distinct(values: Column) -> Column:
     return F.array_distinct(F.transform(F.array_distinct(values), F.lower))
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once, also inside other lambdas."""
-    return F.transform(F.array(value), use)[0]
-
-
 def places(text: Column, wanted: Callable[[Column], Column]) -> Column:
-    """(start, end, term) of the words of ``text`` whose lower case is ``wanted``; stretches of words are folded one by
-    one, so that a long text does not copy a long list of places for each of them."""
-    words = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
-    steps = let(words, lambda w: F.zip_with(F.slice(F.split(text, TERM, -1), F.lit(1), F.size(w)), w, lambda p, m: F.struct(
-        F.length(p).alias("skip"), m.alias("word"))))
-    none = F.array().cast("array<struct<start:int,end:int,term:string>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + x["skip"]
-        end = begin + F.length(x["word"])
-        place = F.struct(begin.alias("start"), end.alias("end"), F.lower(x["word"]).alias("term"))
-        return F.struct(end.alias("at"), F.when(wanted(F.lower(x["word"])), F.array_append(acc["found"], place)).otherwise(
-            acc["found"]).alias("found"))
-
-    def stretches(all_: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), none.alias("found"))
-        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / STRETCH).cast("int")), lambda i: F.aggregate(
-            F.slice(all_, i * STRETCH + 1, F.lit(STRETCH)), start, step))
-
-    def offsets(parts: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before"))
-        return F.aggregate(parts, start, lambda acc, x: F.struct(
-            (acc["at"] + x["at"]).alias("at"), F.array_append(acc["before"], acc["at"]).alias("before")), lambda acc: acc["before"])
-
-    def shifted(part: Column, by: Column) -> Column:
-        return F.transform(part["found"], lambda f: F.struct(
-            (f["start"] + by).alias("start"), (f["end"] + by).alias("end"), f["term"].alias("term")))
-
-    return let(steps, lambda all_: F.when(F.size(all_) > 0, let(stretches(all_), lambda parts: F.flatten(
-        F.zip_with(parts, offsets(parts), shifted)))).otherwise(none))
+    """(start, end, value) of the words of ``text`` whose lower case is ``wanted``."""
+    return located(text, TERM, F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda w: wanted(F.lower(w)))
 
 
 def likely(met: Column, of: Column) -> Column:
@@ -237,8 +229,8 @@ def likely_places(rows: DataFrame, telling: DataFrame) -> DataFrame:
     bits = materialise(bits.withColumn("every", F.lit(0).cast("long")), "pii-bits")
     marked = rows.join(F.broadcast(bits), F.col("doc") % 1 == F.col("every"))        # a key that every row has
     found = marked.select("doc", F.when(some, let(clean, lambda c: places(c, wanted))).alias("likely"))
-    return found.select("doc", F.explode_outer("likely").alias("w")).select("doc", "w.start", "w.end", "w.term").where(
-        "term IS NOT NULL")
+    return found.select("doc", F.explode_outer("likely").alias("w")).select(
+        "doc", "w.start", "w.end", F.lower("w.value").alias("term")).where("term IS NOT NULL")
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
