@@ -17,7 +17,7 @@ Everything is made of DataFrame functions. Only texts with base spans make pairs
 pairs that could reach the threshold if they met as often as n_e and n_t allow (the bound rises with n_te, so nothing is
 lost). Term counts shuffle combined. The disclosing terms go to the texts as a bitmap of hashes, of a size that does not
 exceed ``MOST_BITS``; words whose bit is set get their places inside the row, and only these few meet the terms themselves
-in a join. Texts are exchanged only where they are rewritten.
+in a join. Texts are exchanged only where they may have copies or are rewritten.
 
 Defined cases: a NULL or empty text has no spans and stays as it is; equal rows have equal spans; an empty table has no
 rows; NULL ids are kept; other columns are carried along.
@@ -38,8 +38,8 @@ REMOVE = 0.15              # and to be removed
 GAIN = 1.0                 # bits that it tells, at least: an entity in most texts is no secret
 Z = 1.6448536269514722     # quantile of the normal distribution for a one-sided level of 95 %
 
-LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27       # of the bitmap of term hashes
-BITS_PER_TERM = 64
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27       # of a bitmap of hashes: 16 MB at most
+BITS_PER_HASH = 8192
 STRETCH = 1000             # matches in a text whose places are found in one fold
 
 KINDS = ("email", "ip", "card", "phone")       # fixed values, in the order of the contract
@@ -204,31 +204,50 @@ def disclosing(met: DataFrame, words: DataFrame, n: int) -> DataFrame:
     return scored.where((F.col("hidden") <= GENERALISE) & (F.col("gain") >= GAIN)).groupBy("term").agg(F.min("hidden").alias("hidden"))
 
 
-def bitmap(telling: DataFrame) -> tuple[DataFrame, int]:
-    """One row with the bitmap of the terms' hashes (``bits``, 64 a word), and its size, which follows their number."""
-    size = min(MOST_BITS, max(LEAST_BITS, 1 << math.ceil(math.log2(max(1, telling.count() * BITS_PER_TERM)))))
-    slot = telling.select(F.xxhash64("term").bitwiseAND(F.lit(size - 1)).alias("slot"))
-    words = slot.groupBy(F.shiftright("slot", 6).alias("id")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("word"))
-    every = telling.sparkSession.range(size // 64).join(words, "id", "left")
-    each = F.struct("id", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
-    return every.agg(F.transform(F.array_sort(F.collect_list(each)), lambda x: x["word"]).alias("bits")), size
+class Bitmap:
+    """A set of 64-bit hashes as one row with a list of words of 64 bits, whose length follows the number of hashes up to
+    ``MOST_BITS``: ``of`` joins it to rows that have ``doc``, ``holds`` tells if a hash's bit is set."""
+
+    def __init__(self, hashes: DataFrame, column: str, name: str):
+        self.size = min(MOST_BITS, max(LEAST_BITS, 1 << math.ceil(math.log2(max(1, hashes.count() * BITS_PER_HASH)))))
+        slots = hashes.select(F.col(column).bitwiseAND(F.lit(self.size - 1)).alias("slot"))
+        words = slots.groupBy(F.shiftright("slot", 6).alias("id")).agg(
+            F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("word"))
+        every = hashes.sparkSession.range(self.size // 64).join(words, "id", "left")
+        each = F.struct("id", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
+        whole = every.agg(F.transform(F.array_sort(F.collect_list(each)), lambda x: x["word"]).alias("bits"))
+        self.row = materialise(whole.withColumn("every", F.lit(0).cast("long")), name)
+
+    def of(self, rows: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(self.row), F.col("doc") % 1 == F.col("every"))        # a key that every row has
+
+    def holds(self, value: Column) -> Column:
+        word = F.get(F.col("bits"), F.shiftright(value.bitwiseAND(F.lit(self.size - 1)), 6).cast("int"))
+        return F.getbit(word, value.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+def different_texts(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(text_key, t, base) of one row of each different text, and their number. Only texts that may have copies, by a
+    bitmap of the keys that occur more than once, are exchanged."""
+    known = rows.where("t IS NOT NULL").select("text_key", "doc", "t", "base")
+    keys = materialise(known.groupBy("text_key").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first")), "pii-texts")
+    copied = keys.where("n > 1").select("text_key", "first")
+    bitmap = Bitmap(copied, "text_key", "pii-copied")
+    marked, shared = bitmap.of(known), bitmap.holds(F.col("text_key"))
+    found = marked.where(shared).drop("bits", "every").join(copied, "text_key", "left").where("first IS NULL OR first = doc")
+    return marked.where(~shared).select("text_key", "t", "base").union(found.select("text_key", "t", "base")), keys.count()
 
 
 def likely_places(rows: DataFrame, telling: DataFrame) -> DataFrame:
-    """(doc, start, end, term) of the words of ``rows`` (doc, t, base) whose bit is set."""
-    bits, size = bitmap(telling)
+    """(doc, start, end, term) of the words of ``rows`` (doc, t, base) whose bit is set in a bitmap of the terms."""
+    bitmap = Bitmap(telling.select(F.xxhash64("term").alias("hash")), "hash", "pii-bits")
 
     def wanted(word: Column) -> Column:
-        h = F.xxhash64(word)
-        word_at = F.get(F.col("bits"), F.shiftright(h.bitwiseAND(F.lit(size - 1)), 6).cast("int"))
-        return F.getbit(word_at, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+        return bitmap.holds(F.xxhash64(word))
 
     clean = _clean("t", "base")
     some = F.exists(F.regexp_extract_all(clean, F.lit(TERM), F.lit(0)), lambda w: wanted(F.lower(w)))
-    bits = materialise(bits.withColumn("every", F.lit(0).cast("long")), "pii-bits")
-    marked = rows.join(F.broadcast(bits), F.col("doc") % 1 == F.col("every"))        # a key that every row has
-    found = marked.select("doc", F.when(some, let(clean, lambda c: places(c, wanted))).alias("likely"))
+    found = bitmap.of(rows).select("doc", F.when(some, let(clean, lambda c: places(c, wanted))).alias("likely"))
     return found.select("doc", F.explode_outer("likely").alias("w")).select(
         "doc", "w.start", "w.end", F.lower("w.value").alias("term")).where("term IS NOT NULL")
 
@@ -242,11 +261,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(rest.alias("rest"), F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     rows = with_base(texts, "t", "base").withColumn("text_key", F.xxhash64("t")).withColumn("doc", F.monotonically_increasing_id())
     rows = materialise(rows, "pii-base")
-    copied = rows.where("t IS NOT NULL").groupBy("text_key").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first"))
-    copied = materialise(copied, "pii-texts")
-    n, copied = copied.count(), copied.where("n > 1").select("text_key", "first")
-    single = rows.where("t IS NOT NULL").select("text_key", "doc", "base", "t").join(copied, "text_key", "left").where(
-        "first IS NULL OR first = doc")
+    single, n = different_texts(rows)
     terms = _distinct(F.regexp_extract_all(_clean("t", "base"), F.lit(TERM), F.lit(0)))
     met = materialise(single.where("base IS NOT NULL").select(
         "text_key", _distinct(F.col("base")["value"]).alias("entities"), terms.alias("terms")), "pii-met")
