@@ -5,13 +5,16 @@ multiples of total / shards. Each pass counts the exact bytes in the candidate c
 over a narrow table, and keeps for every border the cell it falls into; the next pass probes that cell 4096 times
 finer. A border is settled at a cell's edge once it misses the wanted byte by at most ``TOLERANCE`` of a shard, or
 when the cell is a single key. The cell of a group of copies that holds a third of all rows is split further by the
-ids' hashes. A pass brings at most 4096 counts per open border to the driver, whatever the input.
+ids' hashes, and a key that has more than a tolerance of bytes by itself (copies without ids, or repeated with theirs) by
+the number of the row: such keys, of which there are at most shards / ``TOLERANCE``, are counted beforehand, and their
+rows are numbered in the lanes of the stored table's partitions. A pass brings at most 4096 counts per open border to the
+driver, whatever the input.
 
 Everything is made of DataFrame functions.
 
-Defined cases: a NULL text counts as empty; a NULL id hashes to one fixed value, so rows with equal texts and without
-ids stay together, as do rows repeated with their id; an empty table has no rows; other columns are not looked at
-(``shard_rows`` carries them along).
+Defined cases: a NULL text counts as empty; a NULL id hashes to one fixed value; rows that are equal in text and id are
+split where the law needs it, and which of them goes where is open; an empty table has no rows; other columns are not
+looked at (``shard_rows`` carries them along).
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ OVERHEAD = 16              # bytes counted for a row besides its text
 ROWS_PER_TASK = 250_000    # rows of a shard that one task numbers
 
 LOWEST = -(1 << 63)
-Key = tuple[int, int]
+PARTS = ("g", "h", "i")    # of a key: hashes of text and id, and a number
+Key = tuple[int, int, int]
 
 
 def key_columns(id_col: str, text_col: str) -> list[Column]:
@@ -36,85 +40,101 @@ def key_columns(id_col: str, text_col: str) -> list[Column]:
             (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")]
 
 
+def stored_keys(rows: DataFrame, n_shards: int, tolerance: float = TOLERANCE) -> DataFrame:
+    """``rows`` with g, h and size, stored, with ``i``: rows of a key that has too many bytes are numbered, others have 0."""
+    rows = materialise(rows.withColumn("n", F.monotonically_increasing_id()), "shard-keys")
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    large = rows.groupBy("g", "h").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).where(
+        (F.col("bytes") > tolerance * total / n_shards) & (F.col("rows") > 1)).select("g", "h")
+    large = materialise(large, "shard-large")
+    if large.isEmpty():
+        return rows.withColumn("i", F.lit(0).cast("long")).drop("n")
+    large = F.broadcast(large)                                 # at most n_shards / tolerance rows
+    hot = rows.join(large, ["g", "h"]).withColumn("lane", F.shiftright("n", 33))
+    lanes = hot.groupBy("g", "h", "lane").agg(F.count(F.lit(1)).alias("rows"))
+    first = lanes.withColumn("first", F.sum("rows").over(Window.partitionBy("g", "h").orderBy("lane")) - F.col("rows")).drop("rows")
+    place = F.row_number().over(Window.partitionBy("g", "h", "lane").orderBy("n"))
+    hot = hot.join(first, ["g", "h", "lane"]).withColumn("i", F.col("first") + place - 1)
+    cold = rows.join(large, ["g", "h"], "left_anti").withColumn("i", F.lit(0).cast("long"))
+    return materialise(cold.unionByName(hot.select(cold.columns)).drop("n"), "shard-numbered")
+
+
 def find_borders(keys: DataFrame, n_shards: int, tolerance: float = TOLERANCE) -> list[Key]:
-    """The first key of shards 1, 2, ...; ``keys`` has g, h and size and should be a stored table."""
+    """The first key of shards 1, 2, ...; ``keys`` has g, h, i and size and should be a stored table."""
     total = keys.agg(F.sum("size")).first()[0] or 0
     slack = tolerance * total / n_shards
     settled: dict[int, Key] = {}
-    # an open border: the wanted byte, and the cell it lies in as (bytes below, part of the key, value of g, cell, shift)
-    open_ = {j: (0, "g", None, 0, 64) for j in range(1, n_shards)} if total else {}
+
+    def key(known: tuple[int, ...], value: int) -> Key:
+        return (*known, value, *[LOWEST] * (len(PARTS) - len(known) - 1))
+
+    # an open border: the bytes below the cell it lies in, and the cell: the key's parts that are known, and the leading
+    # bits of the next part (their value, and how many bits are still open)
+    open_: dict[int, tuple[int, tuple]] = {j: (0, ((), 0, 64)) for j in range(1, n_shards)} if total else {}
     while open_:
-        cells = sorted({x[1:] for x in open_.values()}, key=repr)
-        part, shift = cells[0][0], cells[0][3]
-        now = [c for c in cells if c[0] == part and c[3] == shift]
-        finer = max(0, shift - STEP)
-        inside = F.lit(True) if shift == 64 and part == "g" else F.lit(False)
-        if shift < 64:
-            groups: dict[int | None, list[int]] = {}
-            for _, g, cell, _ in now:
-                groups.setdefault(g, []).append(cell)
-            for g, found in groups.items():
-                same = F.shiftright(part, shift).isin(found)
-                inside = inside | (same if g is None else (F.col("g") == g) & same)
-        elif part == "h":
-            inside = F.col("g").isin([g for _, g, _, _ in now])
-        by_g = F.col("g") if part == "h" else F.lit(None).cast("long")
+        depth, shift = min(((len(c[0]), c[2]) for _, c in open_.values()), key=lambda x: (x[0], -x[1]))
+        now = sorted({c for _, c in open_.values() if (len(c[0]), c[2]) == (depth, shift)})
+        part, finer = PARTS[depth], max(0, shift - STEP)
+        groups: dict[tuple[int, ...], list[int]] = {}
+        for known, cell, _ in now:
+            groups.setdefault(known, []).append(cell)
+        inside = F.lit(False)
+        for known, found in groups.items():
+            same = F.lit(True) if shift == 64 else F.shiftright(part, shift).isin(found)
+            for name, value in zip(PARTS, known):
+                same = (F.col(name) == value) & same
+            inside = inside | same
         counts: dict[tuple, list[tuple[int, int]]] = {}
-        for g, cell, size in keys.where(inside).groupBy(by_g.alias("by_g"), F.shiftright(part, finer).alias("cell")).agg(
+        for *known, cell, size in keys.where(inside).groupBy(*PARTS[:depth], F.shiftright(part, finer).alias("cell")).agg(
                 F.sum("size")).collect():
-            parent = (part, g, cell >> (shift - finer) if shift < 64 else 0, shift)
+            parent = tuple(known), cell >> (shift - finer) if shift < 64 else 0, shift
             counts.setdefault(parent, []).append((cell, size))
         for found in counts.values():
             found.sort()
-        for j, (below, *cell) in list(open_.items()):
-            if tuple(cell) not in now:
+        for j, (below, cell) in list(open_.items()):
+            if cell not in now:
                 continue
-            wanted = j * total / n_shards
-            for value, size in counts[tuple(cell)]:
+            known, wanted = cell[0], j * total / n_shards
+            for value, size in counts[cell]:
                 if below + size > wanted:
                     break
                 below += size
-            g = cell[1]
-            edge, after = ((value << finer, LOWEST), (value + 1 << finer, LOWEST)) if part == "g" else (
-                (g, value << finer), (g, value + 1 << finer))
-            last = part == "h" and finer == 0
+            last = depth + 1 == len(PARTS) and finer == 0
             if wanted - below <= slack or (last and 2 * (wanted - below) <= size):
-                settled[j] = edge
+                settled[j] = key(known, value << finer)
             elif below + size - wanted <= slack or last:
-                settled[j] = after
-            elif finer:
-                open_[j] = (below, part, g, value, finer)
-                continue
+                settled[j] = key(known, (value << finer) + (1 << finer))
             else:
-                open_[j] = (below, "h", value, 0, 64)
+                open_[j] = (below, (known, value, finer) if finer else ((*known, value), 0, 64))
                 continue
             del open_[j]
     return [settled[j] for j in sorted(settled)]
 
 
 def shard_of(borders: list[Key]) -> Column:
-    """The shard of a row with columns g and h: how many borders are at or below its key."""
+    """The shard of a row with columns g, h and i: how many borders are at or below its key."""
     if not borders:
         return F.lit(0)
-    past = [(F.col("g") > g) | ((F.col("g") == g) & (F.col("h") >= h)) for g, h in borders]
+    past = [(F.col("g") > g) | ((F.col("g") == g) & ((F.col("h") > h) | ((F.col("h") == h) & (F.col("i") >= i))))
+            for g, h, i in borders]
     return sum((p.cast("int") for p in past[1:]), past[0].cast("int"))
 
 
 def numbered(rows: DataFrame, id_col: str) -> DataFrame:
-    """``rows`` (shard, g, h) with ``slot``, gapless from 0 in each shard; a large shard is numbered by several tasks."""
+    """``rows`` (shard, g, h, i) with ``slot``, gapless from 0 in each shard; a large shard is numbered by several tasks."""
     counts = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
     most = counts.agg(F.max("n")).first()[0] or 0
-    rows = rows.withColumn("lane", F.pmod(F.xxhash64("h", "g"), F.lit(-(-most // ROWS_PER_TASK) or 1)).cast("int"))
+    rows = rows.withColumn("lane", F.pmod(F.xxhash64("h", "g", "i"), F.lit(-(-most // ROWS_PER_TASK) or 1)).cast("int"))
     lanes = rows.groupBy("shard", "lane").agg(F.count(F.lit(1)).alias("n"))
     first = lanes.withColumn("first", F.sum("n").over(Window.partitionBy("shard").orderBy("lane")) - F.col("n")).drop("n")
-    place = F.row_number().over(Window.partitionBy("shard", "lane").orderBy("g", "h", id_col))
+    place = F.row_number().over(Window.partitionBy("shard", "lane").orderBy("g", "h", "i", id_col))
     return rows.join(first, ["shard", "lane"]).withColumn("slot", F.col("first") + place - 1).drop("lane", "first")
 
 
 def shard_table(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, size, text_crc32, shard, slot."""
     prepare(docs.sparkSession)
-    keys = materialise(docs.select(F.col(id_col), *key_columns(id_col, text_col)), "shard-keys")
+    keys = stored_keys(docs.select(F.col(id_col), *key_columns(id_col, text_col)), n_shards)
     rows = keys.withColumn("shard", shard_of(find_borders(keys, n_shards)))
     return numbered(rows, id_col).select(id_col, "size", "text_crc32", "shard", "slot")
 
@@ -122,8 +142,7 @@ def shard_table(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col
 def shard_rows(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` as ``row``, with ``shard``, exchanged once so that a task holds one shard's rows."""
     prepare(docs.sparkSession)
-    keys = materialise(docs.select(*key_columns(id_col, text_col)), "shard-keys")
-    borders = find_borders(keys, n_shards)
-    rows = docs.select(F.struct("*").alias("row"), *key_columns(id_col, text_col))
-    return rows.withColumn("shard", shard_of(borders)).repartition("shard").sortWithinPartitions("shard", "g", "h").select(
+    rows = stored_keys(docs.select(F.struct("*").alias("row"), *key_columns(id_col, text_col)), n_shards)
+    borders = find_borders(rows.select(*PARTS, "size"), n_shards)
+    return rows.withColumn("shard", shard_of(borders)).repartition("shard").sortWithinPartitions("shard", *PARTS).select(
         "row", "shard")

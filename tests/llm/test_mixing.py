@@ -59,6 +59,33 @@ def test_mix_by_brute_force(spark, corpus):
     assert again == got, "reruns agree however the rows are dealt"
 
 
+def table_of(frame):
+    key = lambda r: tuple((x is not None, x) for x in r)
+    return sorted(map(tuple, mixing.mix_table(frame).collect()), key=key)
+
+
+def documents_of(frame):
+    key = lambda r: tuple((x is not None, x) for x in r)
+    return sorted(map(tuple, mixing.mixed_documents(frame).collect()), key=key)
+
+
+@pytest.mark.parametrize("kind", ["null", "repeated", "edge"])
+def test_reruns_agree_without_ids_and_with_repeated_ones(spark, edge, kind):
+    rng = random.Random(6)
+    rows = [(None if kind == "null" or i % 3 else i % 7, " ".join(f"w{rng.randrange(9)}" for _ in range(rng.choice([1, 5, 40]))),
+             rng.choice("aab"), i % 5) for i in range(3000)]
+    rows += rows[:50] * 3
+    frame = edge if kind == "edge" else spark.createDataFrame(rows, "doc_id long, text string, source string, other long")
+    dealt = [frame.repartition(1), frame.repartition(5), frame.orderBy(F.rand(3)).repartition(3)]
+    first, *others = map(table_of, dealt)
+    assert all(x == first for x in others)
+    first_documents, *others = map(documents_of, dealt)
+    assert all(x == first_documents for x in others)
+    taken = sum(r[-1] for r in first)
+    words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r in first_documents)
+    assert words == taken > 0, "the documents are those that the table takes"
+
+
 def test_each_source_comes_near_its_target(spark, corpus):
     docs = spark.createDataFrame(corpus, "doc_id long, text string, source string")
     table = mixing.mix_table(docs).join(docs.select("doc_id", "source"), "doc_id")
