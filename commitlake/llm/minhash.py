@@ -231,8 +231,8 @@ def node_classes(profiled: DataFrame, texts_of: DataFrame, threshold: int) -> Da
     stars = placed.where("node != middle").select(
         F.least("node", "middle").alias("a"), F.greatest("node", "middle").alias("b")).distinct()
     near = likely(_labelled(stars, classes), signs, threshold)
-    links = links.union(materialise(verified(near, texts, threshold), "minhash-links"))
-    classes = connected_components(links)
+    near = materialise(verified(near, texts, threshold), "minhash-links")
+    classes = connected_components(_stars(classes).union(near))
 
     # 3. pairs of a bucket that are still in different classes, that no bound rules out and that have not met yet
     placed = _divided(placed.drop("label"), classes)
@@ -252,7 +252,12 @@ def node_classes(profiled: DataFrame, texts_of: DataFrame, threshold: int) -> Da
         & (F.array_min(F.array_intersect("buckets", "buckets_")) == F.col("bucket"))).select(
         F.least("node_", "node").alias("a"), F.greatest("node_", "node").alias("b"))
     more = materialise(verified(likely(across, signs, threshold), texts, threshold), "minhash-links")
-    return classes if more.isEmpty() else connected_components(links.union(more))
+    return classes if more.isEmpty() else connected_components(_stars(classes).union(more))
+
+
+def _stars(classes: DataFrame) -> DataFrame:
+    """The classes so far as one edge a node: the links that they come from need not be walked again."""
+    return classes.select(F.col("label").alias("a"), F.col("node").alias("b")).where("a != b")
 
 
 def _divided(members: DataFrame, classes: DataFrame) -> DataFrame:
