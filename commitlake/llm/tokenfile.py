@@ -10,7 +10,8 @@ A task writes under a name of its own and its row in the manifest, a Parquet tab
 the data set: a lost or repeated task leaves at most a file that no manifest names.
 
 Defined cases: a NULL or empty text has the end id only; rows with a NULL id come first, equal ids follow each other
-in the order of their texts; an empty table gives no file; other columns are not looked at.
+in the order of a hash of their texts; ids are cast to long, and one that is not a whole number counts as NULL; an empty
+table gives no file; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -161,6 +162,8 @@ _encoders: dict[str, WordEncoder] = {}
 
 def stem(word: bytes) -> int:
     """The length of ``word`` without the stops behind its last letter: a pre-token ends there."""
+    if word[-1] not in b".,":
+        return len(word)
     core = word.rstrip(b".,")
     return len(core) if core and core.decode()[-1].lower()[-1].isalpha() else len(word)
 
@@ -180,11 +183,7 @@ class WordEncoder:
         self.cut = min((t for t in self.tokenizer.get_added_tokens_decoder().items() if t[1].special), key=lambda t: t[0])
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.symbols = dict(enumerate(byte_symbols()))
-        self.forget()
-
-    def forget(self) -> None:
-        """Empty the cache: a worker outlives its task."""
-        self.words = Cache(CACHE_SIZE)
+        self.words = Cache(CACHE_SIZE)            # kept over the tasks of a worker: most words come again
 
     def as_symbols(self, word: bytes) -> str | None:
         """The symbols of the one pre-token that ``word`` is, where that is plain to see: Latin letters, which lower case
@@ -266,15 +265,16 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int, folder: str, id_
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 out = out or Writer(uri)
                 out.add(doc_id.as_py(), code.encode(text.as_py() or "") + end)
-        code.forget()
         if out:
             n_docs, n_ids = out.close()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([uri]), pa.array([TaskContext.get().partitionId()], pa.int32()),
                  pa.array([n_docs], pa.int64()), pa.array([n_ids], pa.int64())], ["file", "part", "docs", "ids"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"))
-    rows = rows.repartitionByRange(F.col("k").asc_nulls_first()).sortWithinPartitions(F.col("k").asc_nulls_first(), "t")
+    rows = docs.select(F.col(id_col).try_cast("long").alias("k"), F.col(text_col).alias("t"))
+    # a hash of the text after the id: rows without an id, or with one and the same, are spread like all others
+    order = [F.col("k").asc_nulls_first(), F.xxhash64("t"), "t"]
+    rows = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     manifest = rows.mapInArrow(write, "file string, part int, docs long, ids long")
     return materialise(manifest, "manifest")
 
