@@ -22,7 +22,7 @@ from commitlake.plans import (  # noqa: E402
     branches_mart, commits_mart, committers, pull_request_commits_mart, repositories_mart, stg_branches,
     stg_commits, stg_pull_request_commits, stg_repositories,
 )
-from commitlake.plans.build import CLUSTER_BY  # noqa: E402
+from commitlake.plans.build import staging_table  # noqa: E402
 from commitlake.session import build_session, shared_dir  # noqa: E402
 from commitlake.sources import fixtures as fx  # noqa: E402
 from commitlake.sources.envelope import read_raw, write_raw  # noqa: E402
@@ -50,10 +50,11 @@ def main() -> None:
             times[name] = round(time.time() - t0, 3)
             return out
 
-        def table(name, *layout):
-            return VersionedTable(spark, f"{root}/{tag}/{name}", *layout)
+        def table(name):
+            return VersionedTable(spark, f"{root}/{tag}/{name}")
 
-        commits_layout = (CLUSTER_BY["commits"], ["_sdc_extracted_at"])
+        def commits_table(name):
+            return staging_table(spark, f"{root}/{tag}/{name}", "commits")
 
         # 1. land raw envelopes (what the extractor/loader delivers)
         def land():
@@ -66,7 +67,7 @@ def main() -> None:
 
         # 2. staging, full build
         stg = {}
-        stg["commits"] = timed("stg_commits_full", lambda: table("stg_commits", *commits_layout).write(stg_commits(raw["commits"])))
+        stg["commits"] = timed("stg_commits_full", lambda: commits_table("stg_commits").write(stg_commits(raw["commits"])))
         stg["pull_request_commits"] = timed("stg_pr_commits_full", lambda: table("stg_pr").write(
             stg_pull_request_commits(raw["pull_request_commits"], as_of)))
         stg["branches"] = timed("stg_branches_full", lambda: table("stg_branches").write(
@@ -75,7 +76,7 @@ def main() -> None:
             stg_repositories(raw["repositories"], as_of)))
 
         # 3. staging, incremental: first batch, then the ~10 % second batch through watermark + upsert
-        inc = table("stg_commits_inc", *commits_layout)
+        inc = commits_table("stg_commits_inc")
         incremental_run(raw_b1["commits"], stg_commits, inc, ["sha"], "_sdc_extracted_at")
         timed("stg_commits_incremental", lambda: incremental_run(raw["commits"], stg_commits, inc, ["sha"],
                                                                  "_sdc_extracted_at"))

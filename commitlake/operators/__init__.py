@@ -6,6 +6,7 @@ from commitlake.operators.incremental import (  # noqa: F401
 )
 from commitlake.operators.joins import left_join_dim  # noqa: F401
 from commitlake.operators.modes import latest_by, mode_by  # noqa: F401
+from commitlake.operators.partitioned import PartitionedTable  # noqa: F401
 from commitlake.operators.quality import (  # noqa: F401
     assert_passes, not_null, quality_report, relationships, unique,
 )

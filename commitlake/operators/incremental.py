@@ -72,6 +72,9 @@ class VersionedTable:
         """Committed versions, oldest first."""
         return [int(n[2:8]) for n in self._names(f"{self.root}/commits") if n.startswith("v=") and n.endswith(".json")]
 
+    def built(self) -> bool:
+        return bool(self.versions())
+
     def path(self, version: int) -> str:
         """The folder that a version's own files are written to."""
         return f"{self.root}/v={version:06d}"
@@ -253,14 +256,14 @@ def stored(batch: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.schema(batch.schema).parquet(path)
 
 
-def incremental_run(source: DataFrame, model: Callable[[DataFrame], DataFrame], table: VersionedTable,
+def incremental_run(source: DataFrame, model: Callable[[DataFrame], DataFrame], table,
                     keys: list[str], watermark: str, target_watermark: str | None = None,
                     full_refresh: bool = False, empty_target: str = "load_nothing") -> DataFrame:
     """First run (or ``full_refresh``) builds ``model(source)``; later runs filter
     ``source`` by the target's watermark, build the batch once and merge it by ``keys``.
-    Each run publishes a new version and returns it.
+    ``table`` is a VersionedTable or a PartitionedTable; its new state is returned.
     """
-    if full_refresh or not table.versions():
+    if full_refresh or not table.built():
         return table.write(model(source))
     fresh = _above(source, watermark, table.high_watermark(target_watermark or watermark), empty_target)
     return table.merge(stored(model(fresh), table.spark, watermark), keys)

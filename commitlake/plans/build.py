@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commitlake.operators.incremental import VersionedTable, incremental_run, stored
+from commitlake.operators.partitioned import PartitionedTable
 from commitlake.operators.quality import MART_CHECKS, Check, assert_passes, quality_report
 from commitlake.plans import docs
 from commitlake.plans.committers import committers
@@ -30,10 +31,19 @@ STAGING_KEYS = {
     "pull_request_commits": ["pull_request_commit_sk"],
 }
 
+STAGING_TIME = {"commits": "commit_timestamp"}
+
 # Range-partitioned by time, so that event-time filters skip files and a merge of recent commits touches few of them.
 CLUSTER_BY = {"commits": ["commit_timestamp", "sha"]}
 
 
+def staging_table(spark: SparkSession, path: str, name: str) -> PartitionedTable | VersionedTable:
+    """Commits lie in folders by month, as a batch holds recent ones; the other streams have no event time of a row."""
+    if name in STAGING_TIME:
+        return PartitionedTable(spark, path, STAGING_TIME[name], "month", ["_sdc_extracted_at"])
+    return VersionedTable(spark, path, watermarks=["_sdc_extracted_at"])
+
+
 @dataclass
 class BuildResult:
     staging: dict[str, DataFrame] = field(default_factory=dict)
@@ -73,7 +83,7 @@ def build_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of:
     }
     out = BuildResult()
     for name, model in models.items():
-        table = VersionedTable(spark, f"{root}/stg/{name}", CLUSTER_BY.get(name), ["_sdc_extracted_at"])
+        table = staging_table(spark, f"{root}/stg/{name}", name)
         out.staging[name] = incremental_run(raw[name], model, table, STAGING_KEYS[name], "_sdc_extracted_at",
                                             full_refresh=full_refresh, empty_target=empty_target)
     tables = {name: VersionedTable(spark, f"{root}/marts/{name}") for name in docs.TABLES if name != "commits"}

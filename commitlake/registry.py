@@ -19,6 +19,7 @@ from commitlake.functions import (
 from commitlake.functions.text import commit_type
 from commitlake.operators.dedupe import keep_latest
 from commitlake.operators.incremental import VersionedTable, incremental_run, stored, upsert, watermark_filter
+from commitlake.operators.partitioned import PartitionedTable
 from commitlake.operators.joins import left_join_dim
 from commitlake.operators.modes import mode_by
 from commitlake.operators.quality import MART_CHECKS, not_null, quality_report, relationships, unique
@@ -366,6 +367,15 @@ def q_incremental_commits(spark, sf):
     return out.select("sha", "commit_message", "_sdc_extracted_at")
 
 
+def q_incremental_by_month(spark, sf):
+    """The same two runs into folders by month: the second rewrites the months of its rows by partition overwrite."""
+    table = PartitionedTable(spark, shared_dir(spark, "tables", f"stg_commits_month-{_run_id()}"), "commit_timestamp", "month",
+                             ["_sdc_extracted_at"])
+    for versions in [(0,), (0, 1)]:
+        out = incremental_run(fx.raw_commits(spark, sf, versions), stg_commits, table, ["sha"], "_sdc_extracted_at")
+    return out.select("sha", "commit_message", "_sdc_extracted_at")
+
+
 def q_incremental_repositories(spark, sf):
     table = VersionedTable(spark, shared_dir(spark, "tables", f"stg_repositories-{_run_id()}"))
     model = lambda raw: stg_repositories(raw, _as_of())
@@ -561,6 +571,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "watermark_event_time": q_watermark_event_time,
     "upsert": q_upsert,
     "incremental_commits": q_incremental_commits,
+    "incremental_by_month": q_incremental_by_month,
     "incremental_repositories": q_incremental_repositories,
     "incremental_two_batches": q_incremental_two_batches,
     "incremental_commits_mart": q_incremental_commits_mart,

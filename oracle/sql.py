@@ -621,6 +621,7 @@ ORACLE_SQL: dict[str, str] = {
                                     "WHERE commit_timestamp < TIMESTAMP '2023-07-01 00:00:00')"),
     "incremental_two_batches": project(stg_branches(), "branch_sk, is_protected, commit_sha, @_sdc_extracted_at"),
     "incremental_commits": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
+    "incremental_by_month": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
     "incremental_repositories": f"""
         WITH full0 AS ({stg_repositories('0')}), batch1 AS ({stg_repositories('1')})
         SELECT repo_id, repo_sk, description, stargazers_count, {ts('_sdc_extracted_at')} FROM (
