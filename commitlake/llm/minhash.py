@@ -217,10 +217,17 @@ def node_classes(profiled: DataFrame, texts_of: DataFrame, threshold: int) -> Da
     signs = materialise(profiled.join(wanted, ["node", "text_key"], "left_semi").select("node", "signature").groupBy(
         "node", "signature").agg(F.lit(1).alias("one")).drop("one"), "minhash-signatures")
 
-    # 1. every member against its bucket's smallest node
-    stars = members.where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialise(verified(likely(stars, signs, threshold), texts, threshold), "minhash-links")
+    # 1. every node against the smallest node of all its buckets, then against those of buckets that are still divided
+    first = members.where("node != low").groupBy("node").agg(F.min("low").alias("low")).select(
+        F.col("low").alias("a"), F.col("node").alias("b"))
+    links = materialise(verified(likely(first, signs, threshold), texts, threshold), "minhash-links")
     classes = connected_components(links)
+    placed = members.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    lows = placed.where("node = low").select("bucket", F.col("label").alias("low_label"))
+    stars = placed.join(lows, "bucket").where("label != low_label").select(
+        F.col("low").alias("a"), F.col("node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    near = materialise(verified(likely(stars, signs, threshold), texts, threshold), "minhash-links")
+    classes = connected_components(_stars(classes).union(near))
 
     # 2. buckets with nodes of different classes: every node against the one nearest to the bucket's middle
     sizes = profiled.select("node", "n_shingles").distinct()
