@@ -80,6 +80,15 @@ class PartitionedTable:
         return self._rows().where((F.col(PERIOD) >= F.date_format(moment, self.format)) & (F.col(PERIOD) != NO_TIME)
                                   & (F.col(self.time_column) >= moment)).drop(PERIOD)
 
+    def at(self, moments: list[Column]) -> DataFrame:
+        """Rows of the periods of ``moments``, other folders are not read (a partition filter)."""
+        return self._rows().where(F.col(PERIOD).isin(*[F.date_format(m, self.format) for m in moments])).drop(PERIOD)
+
+    def beside(self, rows: DataFrame) -> DataFrame:
+        """Rows of the periods that ``rows``, which have the time column, lie in. The periods' names come to the driver."""
+        names = [r[0] for r in self._dated(rows).select(PERIOD).distinct().collect()]
+        return self._rows().where(F.col(PERIOD).isin(names)).drop(PERIOD)
+
     def _put(self, rows: DataFrame, mode: str) -> None:
         """Write whole periods; the maxima of the watermark columns are observed on the way."""
         seen = Observation()
@@ -143,3 +152,26 @@ class PartitionedTable:
             fs, place = self._place(f"{PERIOD}={period}")
             fs.delete(place, True)
         return self.read()
+
+    def replace(self, batch: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+        """Delete every row whose ``keys`` (no NULLs) are in ``gone`` and insert ``batch``: whole cells are exchanged for
+        others, and a cell may end empty. ``gone`` has the time column, whose periods hold all of its keys' rows; both
+        should be stored tables. Repeating a lost replacement changes nothing."""
+        target, gone = self._rows(), self._dated(gone.select(*{**dict.fromkeys(keys), self.time_column: None}))
+        batch = self._dated(batch.select(*[c for c in target.columns if c != PERIOD]))
+        touched = sorted(r[0] for r in gone.select(PERIOD).union(batch.select(PERIOD)).distinct().collect())
+        if not touched:
+            return self.read()
+        stays = target.where(F.col(PERIOD).isin(touched)).join(gone.select(*keys).distinct(), keys, "left_anti")
+        merged = stays.select(*target.columns).unionByName(batch.select(*target.columns))
+        left = {r[0] for r in merged.select(PERIOD).distinct().collect()}
+        self._put(merged.hint("rebalance", PERIOD), "dynamic")
+        for period in sorted(set(touched) & set(self.periods()) - left):
+            fs, place = self._place(f"{PERIOD}={period}")
+            fs.delete(place, True)
+        return self.read()
+
+    def forget(self) -> None:
+        """Take back ``built()`` before a rebuild of several tables that belong together."""
+        fs, place = self._place(STATE)
+        fs.delete(place, False)

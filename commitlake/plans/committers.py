@@ -124,6 +124,18 @@ def author_totals(days: DataFrame, as_of: Column) -> DataFrame:
                     _mode_of(dow_buckets).alias("most_active_day_of_week")).drop(*drop)
 
 
+def value_counts(commits: DataFrame, keys: list[str]) -> DataFrame:
+    """Commits per repository, pull request and e-mail address of each ``keys`` (NULL values are not counted)."""
+    pairs = F.explode(F.array(
+        F.struct(F.lit("repo").alias("kind"), c("repo").alias("value")),
+        F.struct(F.lit("pr").alias("kind"), c("pull_request_number").cast("string").alias("value")),
+        F.struct(F.lit("email").alias("kind"), c("git_author_email").alias("value")),
+    )).alias("kv")
+    return (commits.select(*keys, pairs).select(*keys, "kv.kind", "kv.value")
+            .where(c("value").isNotNull())
+            .groupBy(*keys, "kind", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
 def author_values(commits: DataFrame) -> DataFrame:
     """Distinct repos, distinct pull requests and e-mail mode from one rollup.
 
@@ -131,14 +143,11 @@ def author_values(commits: DataFrame) -> DataFrame:
     (author, kind, value) collapses duplicates map-side, then one author-level
     pass counts distinct values and picks the most used e-mail (ties: smallest).
     """
-    pairs = F.explode(F.array(
-        F.struct(F.lit("repo").alias("kind"), c("repo").alias("value")),
-        F.struct(F.lit("pr").alias("kind"), c("pull_request_number").cast("string").alias("value")),
-        F.struct(F.lit("email").alias("kind"), c("git_author_email").alias("value")),
-    )).alias("kv")
-    counted = (commits.select(AUTHOR, pairs).select(AUTHOR, "kv.kind", "kv.value")
-               .where(c("value").isNotNull())
-               .groupBy(AUTHOR, "kind", "value").agg(F.count(F.lit(1)).alias("n")))
+    return values_of(value_counts(commits, [AUTHOR]))
+
+
+def values_of(counted: DataFrame) -> DataFrame:
+    """One row per author from its (author, kind, value) counts."""
     email = c("kind") == "email"
     return counted.groupBy(AUTHOR).agg(
         F.count_if(c("kind") == "repo").alias("repos_contributed_to"),
@@ -180,14 +189,21 @@ def activity_status(*recent_counts: Column) -> Column:
     return out.otherwise(INACTIVE)
 
 
+# The columns of staging that the mart reads.
+INPUT_COLUMNS = [AUTHOR, "sha", "repo", "commit_timestamp", "commit_date", "commit_hour", "commit_type", "is_verified",
+                 "is_merge_commit", "pull_request_number", "git_author_email", "github_author_is_site_admin", *PROFILE]
+
+
 def committer_stats(stg_commits: DataFrame, as_of: Column) -> DataFrame:
     """All committer columns except the two global ranks."""
-    commits = authored(stg_commits).select(
-        AUTHOR, "sha", "repo", "commit_timestamp", "commit_date", "commit_hour", "commit_type", "is_verified",
-        "is_merge_commit", "pull_request_number", "git_author_email", "github_author_is_site_admin", *PROFILE)
-    totals = author_totals(author_days(commits, as_of), as_of)
-    base = (totals.join(author_values(commits), AUTHOR, "left")
-            .join(author_profile(commits), AUTHOR, "left"))
+    commits = authored(stg_commits).select(*INPUT_COLUMNS)
+    return stats_from(author_totals(author_days(commits, as_of), as_of), author_values(commits),
+                      author_profile(commits), as_of)
+
+
+def stats_from(totals: DataFrame, values: DataFrame, profile: DataFrame, as_of: Column) -> DataFrame:
+    """The committer columns from the three rollups by author."""
+    base = totals.join(values, AUTHOR, "left").join(profile, AUTHOR, "left")
     total = c("total_commits")
     span = days_between(c("first_commit_at"), c("last_commit_at"))
     return base.select(
@@ -227,7 +243,11 @@ def committers(stg_commits: DataFrame, as_of: Column | None = None, built_at: Co
     Ranks break ties by ``committer_id`` (the source leaves ties arbitrary).
     """
     as_of = as_of if as_of is not None else F.current_timestamp()
-    stats = committer_stats(stg_commits, as_of)
+    return ranked_committers(committer_stats(stg_commits, as_of), built_at, sort)
+
+
+def ranked_committers(stats: DataFrame, built_at: Column | None = None, sort: bool = True) -> DataFrame:
+    """The mart from its columns without ranks."""
     stats = stored(stats, stats.sparkSession, "committer-stats")     # read three times below
     ranks = [global_rank(stats.select("committer_id", by), [c(by).desc(), c("committer_id").asc()], name).drop(by)
              for by, name in (("commits_last_90_days", "rank_by_recent_activity"),

@@ -25,6 +25,7 @@ from commitlake.operators.modes import mode_by
 from commitlake.operators.quality import MART_CHECKS, not_null, quality_report, relationships, unique
 from commitlake.operators.rank import global_rank
 from commitlake.plans import committers as committers_plan
+from commitlake.plans.committer_state import MaintainedCommitters
 from commitlake.plans.committers import (
     AUTHOR, author_days, author_profile, author_totals, author_values, authored, committer_stats,
 )
@@ -376,6 +377,14 @@ def q_incremental_by_month(spark, sf):
     return out.select("sha", "commit_message", "_sdc_extracted_at")
 
 
+def q_committers_maintained(spark, sf):
+    """The committers mart from stored day rows: a build and a batch that counts only the cells it touches again."""
+    state = MaintainedCommitters(spark, shared_dir(spark, "tables", f"committers-{_run_id()}"))
+    for versions in [(0,), (0, 1)]:
+        incremental_run(fx.raw_commits(spark, sf, versions), stg_commits, state, ["sha"], "_sdc_extracted_at")
+    return state.mart(_as_of(), _as_of())
+
+
 def q_incremental_repositories(spark, sf):
     table = VersionedTable(spark, shared_dir(spark, "tables", f"stg_repositories-{_run_id()}"))
     model = lambda raw: stg_repositories(raw, _as_of())
@@ -572,6 +581,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert": q_upsert,
     "incremental_commits": q_incremental_commits,
     "incremental_by_month": q_incremental_by_month,
+    "committers_maintained": q_committers_maintained,
     "incremental_repositories": q_incremental_repositories,
     "incremental_two_batches": q_incremental_two_batches,
     "incremental_commits_mart": q_incremental_commits_mart,
