@@ -230,7 +230,14 @@ def watermark_filter(source: DataFrame, target: DataFrame | None, column: str,
     return _above(source, column, wm, empty_target)
 
 
-def _above(source: DataFrame, column: str, wm, empty_target: str) -> DataFrame:
+def _whole(source) -> DataFrame:
+    return source if isinstance(source, DataFrame) else source.read()
+
+
+def _above(source, column: str, wm, empty_target: str) -> DataFrame:
+    if wm is not None and not isinstance(source, DataFrame):
+        return source.newer_than(column, wm)
+    source = _whole(source)
     if wm is not None:
         return newer_than(source, column, wm)
     if empty_target == "load_all":
@@ -256,14 +263,15 @@ def stored(batch: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.schema(batch.schema).parquet(path)
 
 
-def incremental_run(source: DataFrame, model: Callable[[DataFrame], DataFrame], table,
+def incremental_run(source, model: Callable[[DataFrame], DataFrame], table,
                     keys: list[str], watermark: str, target_watermark: str | None = None,
                     full_refresh: bool = False, empty_target: str = "load_nothing") -> DataFrame:
     """First run (or ``full_refresh``) builds ``model(source)``; later runs filter
     ``source`` by the target's watermark, build the batch once and merge it by ``keys``.
-    ``table`` is a VersionedTable or a PartitionedTable; its new state is returned.
+    ``source`` is a DataFrame or a Landing, whose folders the watermark chooses. ``table`` is a VersionedTable, a
+    PartitionedTable or has their methods; its new state is returned.
     """
     if full_refresh or not table.built():
-        return table.write(model(source))
+        return table.write(model(_whole(source)))
     fresh = _above(source, watermark, table.high_watermark(target_watermark or watermark), empty_target)
     return table.merge(stored(model(fresh), table.spark, watermark), keys)

@@ -21,7 +21,7 @@ from commitlake.plans.committers import committers
 from commitlake.plans.marts import branches_mart, commits_mart, pull_request_commits_mart, repositories_mart
 from commitlake.plans.staging import stg_branches, stg_commits, stg_pull_request_commits, stg_repositories
 from commitlake.session import tune_shuffle_partitions
-from commitlake.sources.envelope import read_raw
+from commitlake.sources.envelope import Landing, open_raw
 from commitlake.sources.sinks import apply_comments, point_table_at
 
 STAGING_KEYS = {
@@ -55,7 +55,7 @@ class BuildResult:
 def build_from_paths(spark: SparkSession, raw_paths: dict[str, str], root: str, **kwargs) -> BuildResult:
     """``build_all`` over landed raw folders, with shuffle partitions sized from their bytes."""
     tune_shuffle_partitions(spark, list(raw_paths.values()))
-    return build_all(spark, {name: read_raw(spark, path) for name, path in raw_paths.items()}, root, **kwargs)
+    return build_all(spark, {name: open_raw(spark, path) for name, path in raw_paths.items()}, root, **kwargs)
 
 
 def publish_marts(spark: SparkSession, tables: dict[str, VersionedTable], database: str) -> None:
@@ -66,7 +66,7 @@ def publish_marts(spark: SparkSession, tables: dict[str, VersionedTable], databa
         apply_comments(spark, f"{database}.{name}", docs.TABLES[name], described)
 
 
-def build_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: Column | None = None,
+def build_all(spark: SparkSession, raw: dict[str, DataFrame | Landing], root: str, as_of: Column | None = None,
               full_refresh: bool = False, publish_to: str | None = None, fail_on_error: bool = True,
               empty_target: str = "load_nothing", checks: list[Check] | None = None) -> BuildResult:
     """Build every model from the raw streams under ``root``, a folder of the warehouse, and run ``checks`` (default:

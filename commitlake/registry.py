@@ -36,7 +36,7 @@ from commitlake.plans.staging import (
 from commitlake.session import configure, shared_dir
 from commitlake.sources import fixtures as fx
 from commitlake.sources.envelope import (
-    parse_payload, raw_view, read_jsonl, read_raw, select_streams, write_jsonl,
+    Landing, parse_payload, raw_view, read_jsonl, read_raw, select_streams, write_jsonl,
 )
 from commitlake.sources.schemas import COMMIT_FIELDS, SDC_COLUMNS, STREAM_FIELDS
 
@@ -377,6 +377,18 @@ def q_incremental_by_month(spark, sf):
     return out.select("sha", "commit_message", "_sdc_extracted_at")
 
 
+def q_incremental_landed(spark, sf):
+    """Two extractions landed in folders by date; the second run reads the folders from the watermark's day on."""
+    run = _run_id()
+    landing = Landing(spark, shared_dir(spark, "landing", f"commits-dated-{run}"))
+    table = PartitionedTable(spark, shared_dir(spark, "tables", f"stg_commits_landed-{run}"), "commit_timestamp", "month",
+                             ["_sdc_extracted_at"])
+    for version in (0, 1):
+        landing.append(fx.raw_commits(spark, sf, (version,)))
+        out = incremental_run(landing, stg_commits, table, ["sha"], "_sdc_extracted_at")
+    return out.select("sha", "commit_message", "_sdc_extracted_at")
+
+
 def q_committers_maintained(spark, sf):
     """The committers mart from stored day rows: a build and a batch that counts only the cells it touches again."""
     state = MaintainedCommitters(spark, shared_dir(spark, "tables", f"committers-{_run_id()}"))
@@ -581,6 +593,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert": q_upsert,
     "incremental_commits": q_incremental_commits,
     "incremental_by_month": q_incremental_by_month,
+    "incremental_landed": q_incremental_landed,
     "committers_maintained": q_committers_maintained,
     "incremental_repositories": q_incremental_repositories,
     "incremental_two_batches": q_incremental_two_batches,

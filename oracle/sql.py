@@ -622,6 +622,7 @@ ORACLE_SQL: dict[str, str] = {
     "incremental_two_batches": project(stg_branches(), "branch_sk, is_protected, commit_sha, @_sdc_extracted_at"),
     "incremental_commits": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
     "incremental_by_month": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
+    "incremental_landed": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
     "committers_maintained": project(COMMITTERS, COMMITTER_COLS),
     "incremental_repositories": f"""
         WITH full0 AS ({stg_repositories('0')}), batch1 AS ({stg_repositories('1')})
