@@ -18,7 +18,7 @@ from commitlake.functions.text import (
     branch_sk, commit_type, full_repo_name, is_merge_commit, pr_commit_sk, pr_number, repo_sk,
 )
 from commitlake.operators.dedupe import keep_latest
-from commitlake.sources.envelope import parse_payload
+from commitlake.sources.typed import flatten, is_typed
 from commitlake.sources.schemas import (
     BRANCH_FIELDS, COMMIT_BODY_FIELDS, COMMIT_FIELDS, PR_COMMIT_FIELDS, REPOSITORY_FIELDS, SDC_COLUMNS,
 )
@@ -42,18 +42,18 @@ def _staged(raw: DataFrame, fields, keys: list[str], extra: list[str], order: li
     of the survivors (survivors are tokenised twice, all other documents once; pays off when keys repeat several times, as in full
     re-extractions of repositories and branches). ``False``: parse everything
     once, then dedupe (best when rows per key is near one, as for commits;
-    measured ~15 % faster there).
+    measured ~15 % faster there). A typed landing has nothing to parse and is projected once.
     """
-    if not dedupe_first:
-        typed = parse_payload(raw, fields, keep=SDC_COLUMNS, strict=strict)
+    if not dedupe_first or is_typed(raw):
+        typed = flatten(raw, fields, keep=SDC_COLUMNS, strict=strict)
         for k in not_null:
             typed = typed.where(c(k).isNotNull())
         return keep_latest(typed, keys, order)
-    narrow = parse_payload(raw, _fields(fields, keys + extra), keep=[*SDC_COLUMNS, "data"], strict=strict)
+    narrow = flatten(raw, _fields(fields, keys + extra), keep=[*SDC_COLUMNS, "data"], strict=strict)
     for k in not_null:
         narrow = narrow.where(c(k).isNotNull())
     latest = keep_latest(narrow, keys, order)
-    return parse_payload(latest, _fields(fields, keys + extra, include=False),
+    return flatten(latest, _fields(fields, keys + extra, include=False),
                          keep=[*keys, *extra, *SDC_COLUMNS], strict=strict)
 
 

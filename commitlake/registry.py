@@ -38,7 +38,8 @@ from commitlake.sources import fixtures as fx
 from commitlake.sources.envelope import (
     Landing, parse_payload, raw_view, read_jsonl, read_raw, select_streams, write_jsonl,
 )
-from commitlake.sources.schemas import COMMIT_FIELDS, SDC_COLUMNS, STREAM_FIELDS
+from commitlake.sources.schemas import COMMIT_FIELDS, REPOSITORY_FIELDS, SDC_COLUMNS, STREAM_FIELDS
+from commitlake.sources.typed import TypedLanding, flatten
 
 c = F.col
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -389,6 +390,38 @@ def q_incremental_landed(spark, sf):
     return out.select("sha", "commit_message", "_sdc_extracted_at")
 
 
+def _typed(stream: str, builder, spark, sf) -> DataFrame:
+    """A stream landed with VARIANT payloads, read back."""
+    landing = TypedLanding(spark, shared_dir(spark, "landing", f"typed-{stream}-{_run_id()}"), stream)
+    landing.append(builder(spark, sf))
+    return landing.read()
+
+
+def _typed_flatten(stream: str, builder):
+    def run(spark, sf):
+        return flatten(_typed(stream, builder, spark, sf), STREAM_FIELDS[stream], ["_sdc_extracted_at", "_sdc_sequence"])
+    return run
+
+
+def q_typed_columns(spark, sf):
+    """Five of the 35 payload fields of repositories: the scan reads no other."""
+    chosen = [f for f in REPOSITORY_FIELDS
+              if f[0] in ("repo_id", "full_name", "primary_language", "stargazers_count", "pushed_at")]
+    return flatten(_typed("repositories", fx.raw_repositories, spark, sf), chosen, ["_sdc_sequence"])
+
+
+def q_stg_commits_typed(spark, sf):
+    """Commits staging, its two extractions landed with VARIANT payloads and merged by an incremental run each."""
+    run = _run_id()
+    landing = TypedLanding(spark, shared_dir(spark, "landing", f"typed-commits-{run}"), "commits")
+    table = PartitionedTable(spark, shared_dir(spark, "tables", f"stg_commits_typed-{run}"), "commit_timestamp", "month",
+                             ["_sdc_extracted_at"])
+    for version in (0, 1):
+        landing.append(fx.raw_commits(spark, sf, (version,)))
+        out = incremental_run(landing, stg_commits, table, ["sha"], "_sdc_extracted_at")
+    return out
+
+
 def q_committers_maintained(spark, sf):
     """The committers mart from stored day rows: a build and a batch that counts only the cells it touches again."""
     state = MaintainedCommitters(spark, shared_dir(spark, "tables", f"committers-{_run_id()}"))
@@ -565,6 +598,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_pr_commits": _flatten("pull_request_commits", fx.raw_pull_request_commits),
     "flatten_branches": _flatten("branches", fx.raw_branches),
     "flatten_repositories": _flatten("repositories", fx.raw_repositories),
+    "typed_commits": _typed_flatten("commits", fx.raw_commits),
+    "typed_pr_commits": _typed_flatten("pull_request_commits", fx.raw_pull_request_commits),
+    "typed_branches": _typed_flatten("branches", fx.raw_branches),
+    "typed_repositories": _typed_flatten("repositories", fx.raw_repositories),
+    "typed_columns": q_typed_columns,
     "land_envelope": q_land_envelope,
     "jsonl_roundtrip": q_jsonl_roundtrip,
     "raw_view": q_raw_view,
@@ -594,6 +632,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_commits": q_incremental_commits,
     "incremental_by_month": q_incremental_by_month,
     "incremental_landed": q_incremental_landed,
+    "stg_commits_typed": q_stg_commits_typed,
     "committers_maintained": q_committers_maintained,
     "incremental_repositories": q_incremental_repositories,
     "incremental_two_batches": q_incremental_two_batches,

@@ -61,13 +61,15 @@ class Landing:
     second time, which keep-latest removes.
     """
 
+    schema = ENVELOPE
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
     def append(self, raw: DataFrame) -> None:
-        """Land ``raw``; columns outside the envelope are left out."""
+        """Land ``raw``; columns outside the schema are left out."""
         from commitlake.operators.incremental import parquet_options
-        dated = raw.select(*ENVELOPE.names, F.to_date("_sdc_extracted_at").alias(LANDED))
+        dated = raw.select(*self.schema.names, F.to_date("_sdc_extracted_at").alias(LANDED))
         dated.hint("rebalance", LANDED).write.mode("append").options(**parquet_options(dated.columns)).partitionBy(
             LANDED).parquet(self.path)
 
@@ -79,7 +81,7 @@ class Landing:
         return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{LANDED}="))
 
     def _dated(self, dates: list[str]) -> DataFrame:
-        schema = T.StructType([*ENVELOPE.fields, T.StructField(LANDED, T.DateType())])
+        schema = T.StructType([*self.schema.fields, T.StructField(LANDED, T.DateType())])
         if not dates:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", self.path).parquet(

@@ -622,6 +622,9 @@ ORACLE_SQL: dict[str, str] = {
     "incremental_two_batches": project(stg_branches(), "branch_sk, is_protected, commit_sha, @_sdc_extracted_at"),
     "incremental_commits": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
     "incremental_by_month": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
+    "typed_columns": project(typed_repositories("all"), "_sdc_sequence, repo_id, full_name, primary_language, "
+                             "stargazers_count, @pushed_at"),
+    "stg_commits_typed": project(STG_C, STG_COMMITS_COLS),
     "incremental_landed": project(STG_C, "sha, commit_message, @_sdc_extracted_at"),
     "committers_maintained": project(COMMITTERS, COMMITTER_COLS),
     "incremental_repositories": f"""
@@ -697,3 +700,6 @@ def _docs_sql() -> str:
 
 
 ORACLE_SQL["mart_docs"] = _docs_sql()
+
+# The same rows from VARIANT payloads as from JSON text.
+ORACLE_SQL |= {f"typed_{x}": ORACLE_SQL[f"flatten_{x}"] for x in ("commits", "pr_commits", "branches", "repositories")}
