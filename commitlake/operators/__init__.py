@@ -10,4 +10,4 @@ from commitlake.operators.partitioned import PartitionedTable  # noqa: F401
 from commitlake.operators.quality import (  # noqa: F401
     assert_passes, not_null, quality_report, relationships, unique,
 )
-from commitlake.operators.rank import global_rank  # noqa: F401
+from commitlake.operators.rank import global_rank, rank_by_value  # noqa: F401

@@ -31,7 +31,7 @@ from commitlake.functions.metrics import greatest_strict, pct, rate
 from commitlake.functions.text import COMMIT_TYPES
 from commitlake.operators.incremental import stored
 from commitlake.operators.modes import latest_by
-from commitlake.operators.rank import global_rank
+from commitlake.operators.rank import rank_by_value
 
 c = F.col
 AUTHOR = "github_author_id"
@@ -248,8 +248,8 @@ def committers(stg_commits: DataFrame, as_of: Column | None = None, built_at: Co
 
 def ranked_committers(stats: DataFrame, built_at: Column | None = None, sort: bool = True) -> DataFrame:
     """The mart from its columns without ranks."""
-    stats = stored(stats, stats.sparkSession, "committer-stats")     # read three times below
-    ranks = [global_rank(stats.select("committer_id", by), [c(by).desc(), c("committer_id").asc()], name).drop(by)
+    stats = stored(stats, stats.sparkSession, "committer-stats")     # read several times below
+    ranks = [rank_by_value(stats.select("committer_id", by), by, "committer_id", name).drop(by)
              for by, name in (("commits_last_90_days", "rank_by_recent_activity"),
                               ("total_commits", "rank_by_total_commits"))]
     ranked = stats.join(ranks[0], "committer_id").join(ranks[1], "committer_id")

@@ -23,7 +23,7 @@ from commitlake.operators.partitioned import PartitionedTable
 from commitlake.operators.joins import left_join_dim
 from commitlake.operators.modes import mode_by
 from commitlake.operators.quality import MART_CHECKS, not_null, quality_report, relationships, unique
-from commitlake.operators.rank import global_rank
+from commitlake.operators.rank import rank_by_value
 from commitlake.plans import committers as committers_plan
 from commitlake.plans.committer_state import MaintainedCommitters
 from commitlake.plans.committers import (
@@ -144,15 +144,11 @@ def q_group_count(spark, sf):
             .agg(F.count(F.lit(1)).alias("commit_hour_count")))
 
 
-def q_rank_total(spark, sf):
-    stats = m_stats(spark, sf).select("committer_id", "total_commits")
-    return global_rank(stats, [c("total_commits").desc(), c("committer_id").asc()], "rank_by_total_commits")
-
-
-def q_rank_recent(spark, sf):
-    stats = m_stats(spark, sf).select("committer_id", "commits_last_90_days")
-    return global_rank(stats, [c("commits_last_90_days").desc(), c("committer_id").asc()],
-                       "rank_by_recent_activity")
+def _ranked(by: str, name: str):
+    def run(spark, sf):
+        stats = stored(m_stats(spark, sf).select("committer_id", by), spark, "rank-input")
+        return rank_by_value(stats, by, "committer_id", name)
+    return run
 
 
 def q_left_join_dim(spark, sf):
@@ -568,8 +564,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hour_mode": q_hour_mode,
     "dow_mode": q_dow_mode,
     "group_count": q_group_count,
-    "rank_total": q_rank_total,
-    "rank_recent": q_rank_recent,
+    "rank_total": _ranked("total_commits", "rank_by_total_commits"),
+    "rank_recent": _ranked("commits_last_90_days", "rank_by_recent_activity"),
     "base_stats": _stats_cols("total_commits", "first_commit_at", "last_commit_at", "is_site_admin"),
     "distinct_counts": _stats_cols("repos_contributed_to", "active_days", "unique_prs"),
     "type_breakdown": _stats_cols("fix_commits", "feature_commits", "docs_commits", "refactor_commits",

@@ -2,10 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from commitlake.operators import (
-    VersionedTable, global_rank, incremental_run, keep_latest, latest_by, left_join_dim, mode_by, upsert, watermark_filter,
+    VersionedTable, global_rank, incremental_run, keep_latest, latest_by, left_join_dim, mode_by, rank_by_value, upsert, watermark_filter,
 )
 from commitlake.session import shared_dir
 
@@ -171,3 +172,25 @@ def test_remove_scratch(spark):
 def test_global_rank_empty_input(spark):
     df = spark.createDataFrame([], "id long, score long")
     assert global_rank(df, [F.col("score").desc(), F.col("id")], "rk").count() == 0
+
+
+@pytest.mark.parametrize("lane_rows", [1_000_000, 300, 7])
+def test_rank_by_value_matches_brute_force(spark, lane_rows):
+    """A third of all rows share one value; NULL, negative and far apart values, clashing column names."""
+    rows = [(i * 7919 % 3001, 0 if i % 3 == 0 else (None if i % 11 == 0 else (-5, 2**39, 2**21, i % 40, -2**33)[i % 5]), i)
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, score long, n int").repartition(5)
+    got = {r.id: r.rk for r in rank_by_value(df, "score", "id", "rk", lane_rows).collect()}
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert got == {r[0]: i + 1 for i, r in enumerate(want)}
+
+
+def test_rank_by_value_lanes_spread_one_value(spark):
+    df = spark.range(20_000).select("id", F.lit(3).alias("score"))
+    ranked = rank_by_value(df, "score", "id", "rk", 1_000)
+    assert ranked.where(F.col("rk") != F.col("id") + 1).count() == 0
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "_lane" in plan
+    assert rank_by_value(df.limit(0), "score", "id", "rk").count() == 0
+    every_null = df.select("id", F.lit(None).cast("long").alias("score"))
+    assert rank_by_value(every_null, "score", "id", "rk", 900).where(F.col("rk") != F.col("id") + 1).count() == 0
