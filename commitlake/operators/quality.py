@@ -2,13 +2,15 @@
 
 Each check is a plain aggregate or anti join over the whole table; the
 report stacks one row per check, so a full suite is a single Spark job.
+NULLs can be counted while a table is written (``observe_nulls``), which
+spares the report its pass for the not_null checks.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 REPORT_COLUMNS = ["table_name", "check_name", "column_name", "severity", "failures"]
@@ -69,11 +71,32 @@ def _failures(tables: dict[str, DataFrame], check: Check) -> DataFrame:
                       F.col("failures").cast("bigint").alias("failures"))
 
 
-def quality_report(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+def observe_nulls(df: DataFrame, table: str, checks: list[Check]) -> tuple[DataFrame, Observation | None]:
+    """``df`` that counts the NULLs of the columns ``checks`` name for ``table`` while it is written, and the Observation
+    that has the counts afterwards (None without such checks).
+
+    Write the result itself: metrics are exact in the stage that writes, whose tasks count once however often they are
+    tried. Below an exchange a lost executor, or the sampling of a range sort, would count rows twice. A merge writes a
+    part of its table only; for both cases leave the table to the report's own pass.
+    """
+    columns = dict.fromkeys(c.column for c in checks if c.kind == "not_null" and c.table == table)
+    if not columns:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]), seen
+
+
+def quality_report(tables: dict[str, DataFrame], checks: list[Check],
+                   observed: dict[str, Observation | None] | None = None) -> DataFrame:
     """One row per check: (table_name, check_name, column_name, severity, failures).
 
-    not_null checks of one table are folded into a single aggregate pass.
+    not_null checks of one table are folded into a single aggregate pass; those of a table in ``observed`` (what
+    ``observe_nulls`` gave for it, once written) need none.
     """
+    counted = {table: dict(seen.get) for table, seen in (observed or {}).items() if seen is not None}
+    known = [(c.table, c.kind, c.column, c.severity, counted[c.table][c.column]) for c in checks
+             if c.kind == "not_null" and c.column in counted.get(c.table, {})]
+    checks = [c for c in checks if c.kind != "not_null" or c.column not in counted.get(c.table, {})]
     parts = []
     by_table: dict[str, list[Check]] = {}
     for c in checks:
@@ -87,6 +110,10 @@ def quality_report(tables: dict[str, DataFrame], checks: list[Check]) -> DataFra
         sev_map = F.create_map(*[F.lit(x) for kv in sev.items() for x in kv])
         parts.append(nn.select(F.lit(table).alias("table_name"), F.lit("not_null").alias("check_name"),
                                "column_name", sev_map[F.col("column_name")].alias("severity"), "failures"))
+    if known:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.createDataFrame(known, "table_name string, check_name string, column_name string, "
+                                                  "severity string, failures bigint"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from commitlake.operators.incremental import VersionedTable, incremental_run, stored
 from commitlake.operators.partitioned import PartitionedTable
-from commitlake.operators.quality import MART_CHECKS, Check, assert_passes, quality_report
+from commitlake.operators.quality import MART_CHECKS, Check, assert_passes, observe_nulls, quality_report
 from commitlake.plans import docs
 from commitlake.plans.committers import committers
 from commitlake.plans.marts import branches_mart, commits_mart, pull_request_commits_mart, repositories_mart
@@ -97,9 +97,12 @@ def build_all(spark: SparkSession, raw: dict[str, DataFrame | Landing], root: st
         "branches": branches_mart(out.staging["branches"], as_of),
         "pull_request_commits": pull_request_commits_mart(out.staging["pull_request_commits"], as_of),
     }
+    checks = MART_CHECKS if checks is None else checks
+    observed = {}
     for name, df in full.items():
+        df, observed[name] = observe_nulls(df, name, checks)
         out.marts[name] = tables[name].write(df)
-    out.report = stored(quality_report(out.marts, MART_CHECKS if checks is None else checks), spark, "report")
+    out.report = stored(quality_report(out.marts, checks, observed), spark, "report")
     if not fail_on_error:
         return out
     out.warnings = assert_passes(out.report)

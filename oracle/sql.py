@@ -703,3 +703,4 @@ ORACLE_SQL["mart_docs"] = _docs_sql()
 
 # The same rows from VARIANT payloads as from JSON text.
 ORACLE_SQL |= {f"typed_{x}": ORACLE_SQL[f"flatten_{x}"] for x in ("commits", "pr_commits", "branches", "repositories")}
+ORACLE_SQL["test_report_observed"] = ORACLE_SQL["test_report"]

@@ -1,6 +1,11 @@
+import uuid
+
 import pytest
 
-from commitlake.operators.quality import Check, assert_passes, not_null, quality_report, relationships, unique
+from commitlake.operators.quality import (
+    Check, assert_passes, not_null, observe_nulls, quality_report, relationships, unique,
+)
+from commitlake.session import shared_dir
 
 
 def test_checks(spark):
@@ -25,3 +30,19 @@ def test_report_and_severity(spark):
         assert_passes(report)
     warn_only = quality_report({"t": df, "p": parent}, checks[1:])
     assert len(assert_passes(warn_only)) == 2
+
+
+@pytest.mark.parametrize("rows", [[(1, "a"), (1, None), (None, None)] * 40, []])
+def test_nulls_observed_while_writing_need_no_pass(spark, rows):
+    df = spark.createDataFrame(rows, "k int, v string")
+    checks = [Check("t", "not_null", "v", severity="warn"), Check("t", "not_null", "k"), Check("t", "unique", "k"),
+              Check("u", "not_null", "v")]
+    assert observe_nulls(df, "other", checks) == (df, None)
+    counting, seen = observe_nulls(df.repartition(3), "t", checks)
+    path = shared_dir(spark, "tests", f"observed-{uuid.uuid4().hex}")
+    counting.write.parquet(path)
+    tables = {"t": spark.read.schema(df.schema).parquet(path), "u": df}
+    report = quality_report(tables, checks, {"t": seen, "u": None})
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, quality_report(tables, checks).collect()))
+    nulls = quality_report(tables, checks[:2], {"t": seen})
+    assert "Scan" not in nulls._jdf.queryExecution().executedPlan().toString().replace("Scan ExistingRDD", "")
