@@ -27,11 +27,14 @@ def stream_upsert(spark: SparkSession, source_dir: str, model: Callable[[DataFra
     returns the table's newest version. Otherwise the running query is returned."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        staged = stored(model(batch), spark, f"stream-{batch_id}")
-        if table.versions():
-            table.merge(staged, keys, order)
-        else:
+        staged = model(batch)
+        first = not table.versions()
+        if not first or table.cluster_by:              # read several times: by a merge, or by the sampling of a range sort
+            staged = stored(staged, spark, f"stream-{batch_id}")
+        if first:
             table.write(staged)
+        else:
+            table.merge(staged, keys, order)
 
     stream = spark.readStream.schema(ENVELOPE).format(fmt).load(source_dir)
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -1,6 +1,7 @@
 import json
 import uuid
 from datetime import datetime, timezone
+from pathlib import Path
 
 from commitlake.operators import VersionedTable
 from commitlake.plans import stg_commits
@@ -51,3 +52,16 @@ def test_an_older_version_that_lands_later_does_not_win(spark):
         out = stream_upsert(spark, landing, stg_commits, table, ["sha"], checkpoint, latest_first("commits"))
         full = stg_commits(spark.read.schema(ENVELOPE).parquet(landing))
         assert [r.commit_message for r in out.collect()] == [r.commit_message for r in full.collect()]
+
+
+def test_the_first_batch_is_written_once(spark):
+    run = uuid.uuid4().hex
+    landing = shared_dir(spark, "tests", f"landing-{run}")
+    table = VersionedTable(spark, shared_dir(spark, "tests", f"stream-table-{run}"))
+    batches = Path(shared_dir(spark, "batches").removeprefix("file:"))
+    before = set(batches.glob("*"))
+    _batch(spark, [("a", "fix: one"), ("b", "feat: two")], 1).write.parquet(f"{landing}/batch=1")
+    out = stream_upsert(spark, landing, stg_commits, table, ["sha"], shared_dir(spark, "tests", f"ckpt-{run}"),
+                        latest_first("commits"))
+    assert sorted(r["sha"] for r in out.collect()) == ["a", "b"]
+    assert set(batches.glob("*")) == before
