@@ -3,8 +3,8 @@
 One rule for every route to a scalar (``json_value``, ``parse_payload``): the leaf is read by ``from_json`` as a
 string, so a number keeps the text it is written with, the last of repeated keys counts, and malformed documents give
 NULL. ``JSON_VALUE`` yields NULL when the addressed value is an object or array, while the string leaf holds its JSON
-text. Only a text that starts with ``[`` or ``{`` can be one; for these rows the value is read again as an array or a
-map, which succeeds for containers only, so a string such as ``"[Fix] x"`` stays.
+text. Only a text that starts with ``[`` or ``{`` and ends with its counterpart can be one; for these rows the value is
+read again as an array or a map, which succeeds for containers only, so a string such as ``"[Fix]"`` stays.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ def scalar_leaf(text: Column, payload: Column, path: str) -> Column:
     """``text``, the string leaf at ``path`` of ``payload``, or NULL where the value is an object or array."""
     array = T.ArrayType(T.StringType())
     object_ = T.MapType(T.StringType(), T.StringType())
-    container = F.when(text.startswith("["), leaf_at(payload, path, array).isNotNull()).when(
-        text.startswith("{"), leaf_at(payload, path, object_).isNotNull()).otherwise(F.lit(False))
+    container = F.when(text.startswith("[") & text.endswith("]"), leaf_at(payload, path, array).isNotNull()).when(
+        text.startswith("{") & text.endswith("}"), leaf_at(payload, path, object_).isNotNull()).otherwise(F.lit(False))
     return F.when(~container, text)
 
 

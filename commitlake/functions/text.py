@@ -43,7 +43,8 @@ def commit_type(message: Column, lenient: bool = False) -> Column:
 
 def pr_number(message: Column) -> Column:
     """First ``#<digits>`` reference as bigint, NULL when absent or out of range."""
-    return F.regexp_extract(message, PR_REFERENCE, 1).try_cast("bigint")
+    # a failing try_cast throws and catches inside, which most messages ('' without a reference) need not pay
+    return F.nullif(F.regexp_extract(message, PR_REFERENCE, 1), F.lit("")).try_cast("bigint")
 
 
 def is_merge_commit(author_email: Column, committer_email: Column) -> Column:

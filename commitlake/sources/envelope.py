@@ -145,6 +145,7 @@ def parse_payload(raw: DataFrame, fields, keep: list[str] | None = None, strict:
     keep = [c for c in raw.columns if c != data_col] if keep is None else keep
     parsed = raw.select(*keep, F.col(data_col).alias("_raw"),
                         F.from_json(F.col(data_col), payload_schema(fields)).alias("_p"))
+    parsed = parsed.select(*keep, "_raw", F.inline(F.array(F.struct("_p"))))
     out = []
     for name, path, kind in fields:
         text = _leaf(F.col("_p"), path)
@@ -153,8 +154,11 @@ def parse_payload(raw: DataFrame, fields, keep: list[str] | None = None, strict:
         if strict and kind == "s":
             text = scalar_leaf(text, F.col("_raw"), path)
         out.append(_typed(text, kind).alias(name))
-    # Filters on the typed columns stop at the generator: below it they would be evaluated on the document again.
-    return parsed.select(F.inline(F.array(F.struct(*keep, *out))))
+    # Two generators: the first keeps the parse from being merged into each column that reads it, at the second stop
+    # filters on the typed columns, which below it would be evaluated on the document again. The columns are made in the
+    # projection between them, as Spark interprets expressions inside a generator and compiles those of a projection.
+    # An array made in place, unlike a column, gives Spark no filter on its size to infer.
+    return parsed.select(F.struct(*keep, *out).alias("_row")).select(F.inline(F.array("_row")))
 
 
 def raw_view(spark: SparkSession, raw: DataFrame, stream: str, name: str | None = None,

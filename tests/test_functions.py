@@ -128,3 +128,15 @@ def test_safe_int_is_the_same_on_both_routes(spark, payload):
     df = spark.createDataFrame([(payload,)], "data string")
     assert parse_payload(df, [("a", "a", "i")], keep=[]).first()["a"] == df.select(
         safe_int(json_value("data", "$.a")).alias("a")).first()["a"]
+
+
+def test_container_check_needs_both_brackets_and_a_message_without_a_reference_no_cast(spark):
+    from commitlake.functions import json_value
+    from commitlake.functions.text import pr_number
+    df = spark.createDataFrame([('{"a": "[build] jar"}',), ('{"a": "[x]"}',), ('{"a": ["x"]}',), ('{"a": {"b": 1}}',),
+                                ('{"a": "{b}"}',), ('{"a": "fix (#12)"}',), ('{"a": "#99999999999999999999"}',)], "j string")
+    got = df.select(json_value("j", "$.a").alias("v"), pr_number(json_value("j", "$.a")).alias("n")).collect()
+    assert [r.v for r in got] == ["[build] jar", "[x]", None, None, "{b}", "fix (#12)", "#99999999999999999999"]
+    assert [r.n for r in got] == [None, None, None, None, None, 12, None]
+    plan = df.select(json_value("j", "$.a"), pr_number(F.col("j")))._jdf.queryExecution().analyzed().toString()
+    assert "EndsWith" in plan and "nullif(regexp_extract" in plan
