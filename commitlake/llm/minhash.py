@@ -8,7 +8,8 @@
    bucket still holds several classes, the node nearest to its middle; only pairs that still lie in different classes
    after that are compared. Links inside a class cannot change the result, so nothing is lost, and a bucket of n near
    copies costs n comparisons. Shingles that a node shares with no other candidate bound its similarity to any of
-   them: nodes and pairs that this exact bound keeps below the threshold are left out of the last step.
+   them: nodes that this exact bound keeps below the threshold are left out. In the last step the nodes around one
+   middle are known by their differences from it: pairs that share too few of these, an exact bound again, are left out.
 4. A candidate's signatures are compared batch by batch. With a uniform prior the similarity after m matches of n
    follows Beta(m + 1, n - m + 1); once P(similarity >= threshold) falls below ``PRUNE_MISS`` the pair is dropped.
 5. Survivors are verified exactly on their full shingle sets.
@@ -241,23 +242,10 @@ def node_classes(profiled: DataFrame, texts_of: DataFrame, threshold: int) -> Da
     near = materialise(verified(near, texts, threshold), "minhash-links")
     classes = connected_components(_stars(classes).union(near))
 
-    # 3. pairs of a bucket that are still in different classes, that no bound rules out and that have not met yet
+    # 3. pairs around one middle that are still in different classes, that no bound rules out and that have not met yet
     placed = _divided(placed.drop("label"), classes)
     placed = materialise(placed.where("node != low AND node != middle"), "minhash-placed")
-    main = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
-        F.max(F.struct("n", "label")).alias("top")).select("bucket", F.col("top.label").alias("main"))
-    own_buckets = placed.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))      # at most one per band
-    placed = placed.join(main, "bucket").join(own_buckets, "node")
-    other = placed.where("label != main").select(
-        "bucket", *[F.col(c).alias(f"{c}_") for c in ("node", "label", "n_shingles", "own", "buckets")])
-    common = F.least(F.col("n_shingles") - F.col("own"), F.col("n_shingles_") - F.col("own_"))
-    either = F.greatest(F.col("n_shingles") + F.col("own_"), F.col("n_shingles_") + F.col("own"))
-    both_other = F.col("label") != F.col("main")
-    across = other.join(placed, "bucket").where(
-        (F.col("label_") != F.col("label")) & (~both_other | (F.col("node_") < F.col("node")))
-        & (100 * common >= threshold * either)
-        & (F.array_min(F.array_intersect("buckets", "buckets_")) == F.col("bucket"))).select(
-        F.least("node_", "node").alias("a"), F.greatest("node_", "node").alias("b"))
+    across = alike_differences(placed, texts, threshold)
     more = materialise(verified(likely(across, signs, threshold), texts, threshold), "minhash-links")
     return classes if more.isEmpty() else connected_components(_stars(classes).union(more))
 
@@ -295,6 +283,66 @@ def own_shingles(placed: DataFrame, texts: DataFrame, sizes: DataFrame, threshol
     return placed.join(can_link, "node")
 
 
+def differences(around: DataFrame, texts: DataFrame) -> DataFrame:
+    """(middle, node, n_differ, shingle) for every row (node, middle): the ``n_differ`` shingles that only one has."""
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: dict[int, np.ndarray] = {}
+        for batch in batches:
+            found = []
+            for middle, t, middle_text in zip(batch.column(0).to_pylist(), *batch.columns[2:]):
+                if middle not in last:
+                    if len(last) >= 64:
+                        last.clear()
+                    last[middle] = shingles(middle_text.as_py())
+                found.append(np.setxor1d(shingles(t.as_py()), last[middle], assume_unique=True).view(np.int64))
+            sizes = np.array([len(x) for x in found], np.int64)
+            ids = [np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (*ids, np.repeat(sizes, sizes), np.concatenate([np.zeros(0, np.int64), *found]))],
+                ["middle", "node", "n_differ", "shingle"])
+
+    both = around.select("node", "middle").join(texts.select("node", "t"), "node").join(
+        texts.select(F.col("node").alias("middle"), F.col("t").alias("middle_text")), "middle")
+    return both.select("middle", "node", "t", "middle_text").mapInArrow(
+        explode, "middle long, node long, n_differ long, shingle long")
+
+
+def alike_differences(placed: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of ``placed`` (node, middle, label, n_shingles) around one middle and in different classes, without
+    those that an exact bound keeps below the threshold.
+
+    D is the set of shingles that only a node or only its middle has. Two sets x and y are linked if and only if
+    2 * (100 + t) * |Dx & Dy| >= u(x) + u(y) with u = (100 + t) * |D| - (100 - t) * size. Nodes linked with the middle
+    share its class, so pairs in different classes need a common shingle in D, and more the larger u is. With each D
+    in one order, rare shingles first, the first common one must come early enough in both to leave the rest room
+    (prefix and position filter). Loose copies of one text share most of the text, but little of D.
+    """
+    whole, gap = 100 + threshold, 100 - threshold
+    around = placed.select("node", "middle", "label", "n_shingles").distinct()
+    divided = around.groupBy("middle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
+    around = materialise(around.join(divided.select("middle"), "middle", "left_semi"), "minhash-around")
+    items = materialise(differences(around, texts), "minhash-differences")
+    times = items.groupBy("middle", "shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    ordered = items.join(times, ["middle", "shingle"]).groupBy("middle", "node", "n_differ").agg(
+        F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("shared"))        # those of one node come before
+    u, n = F.col("u"), F.col("n_shingles")
+    ordered = ordered.join(around, ["middle", "node"]).withColumn("u", whole * F.col("n_differ") - gap * n)
+    # common shingles of D that a link needs: with a node of larger u, and with any (its size is at most 100 / t times n)
+    least_above = F.greatest(F.lit(1), F.ceil(u / whole))
+    least = F.greatest(F.lit(1), F.ceil((threshold * u - 100 * gap * n) / (threshold * whole)))
+    early = ordered.select("middle", "node", "label", "u", least_above.alias("least_above"), least.alias("least"),
+                           F.size("shared").alias("n_shared"), F.posexplode("shared").alias("i", "item")).withColumn(
+        "rest", F.col("n_shared") - F.col("i")).where("rest >= least").select(
+        "middle", F.col("item.shingle").alias("shingle"), "node", "label", "u", "rest", "least_above")
+    early = materialise(early, "minhash-early")
+    other = early.where("rest >= least_above").select(
+        "middle", "shingle", *[F.col(c).alias(f"{c}_") for c in ("node", "label", "u", "rest")])
+    return early.join(other, ["middle", "shingle"]).where(
+        (F.col("label_") != F.col("label")) & (F.struct("u_", "node_") < F.struct("u", "node"))
+        & (2 * whole * F.least("rest", "rest_") >= F.col("u") + F.col("u_"))).select(
+        F.least("node_", "node").alias("a"), F.greatest("node_", "node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``text_key``, ``n_shingles``, ``component_id`` (the smallest id of its class),
     ``kept`` (the row has that id). ``threshold`` is the similarity in percent at which two sets are linked."""

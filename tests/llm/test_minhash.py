@@ -69,6 +69,53 @@ def test_classes_by_brute_force(spark, threshold):
     assert got == brute(rows, threshold)
 
 
+def variant_copies(rng, n, words=150, variants=3):
+    """Loose copies that share their changed words, so that few shingles are a copy's own."""
+    base = [f"b{i}" for i in range(words)]
+    texts = []
+    for _ in range(n):
+        t = list(base)
+        for _ in range(rng.randrange(2, 7)):
+            at = rng.randrange(5, words - 5)
+            t[at] = f"v{at}-{rng.randrange(variants)}"
+        texts.append(" ".join(t))
+    return texts
+
+
+def test_large_group_of_loose_copies(spark, monkeypatch):
+    """Of the 79,800 pairs of a group of copies that are mostly not linked, few are compared in the last step."""
+    compared, likely = [], minhash.likely
+
+    def counted(pairs, signs, threshold):
+        compared.append(pairs.count())
+        return likely(pairs, signs, threshold)
+
+    monkeypatch.setattr(minhash, "likely", counted)
+    rows = list(enumerate(variant_copies(random.Random(5), 400)))
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 80).drop("text_key")
+    assert Counter(map(tuple, found.collect())) == brute(rows, 80)
+    assert compared[-1] < 15 * len(rows)
+
+
+@pytest.mark.parametrize("threshold", [80, 85])
+def test_differences_lose_no_link(spark, threshold):
+    """Every linked pair whose ends are not linked with the middle comes out, and few others do."""
+    texts = variant_copies(random.Random(threshold), 150)
+    sets = [set(minhash.shingles(t).tolist()) for t in texts]
+
+    def linked(x, y):
+        return 100 * len(x & y) >= threshold * len(x | y)
+
+    label = [0 if linked(s, sets[0]) else i for i, s in enumerate(sets)]
+    pairs = {(i, j) for j in range(1, len(sets)) for i in range(1, j) if label[i] != label[j] and linked(sets[i], sets[j])}
+    placed = spark.createDataFrame([(i, 0, label[i], len(sets[i])) for i in range(1, len(sets))],
+                                   "node long, middle long, label long, n_shingles long")
+    texts = spark.createDataFrame(list(enumerate(texts)), "node long, t string")
+    found = {(r.a, r.b) for r in minhash.alike_differences(placed, texts, threshold).collect()}
+    assert pairs and pairs <= found
+    assert len(found) < 0.05 * math.comb(len(sets), 2)
+
+
 @pytest.mark.parametrize("name", ["edge", "clashing", "nothing"])
 def test_edges(request, name):
     docs = request.getfixturevalue(name)
