@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from commitlake.llm.common import materialise, packed, prepare
@@ -321,19 +321,20 @@ def alike_differences(placed: DataFrame, texts: DataFrame, threshold: int) -> Da
     around = placed.select("node", "middle", "label", "n_shingles").distinct()
     divided = around.groupBy("middle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
     around = materialise(around.join(divided.select("middle"), "middle", "left_semi"), "minhash-around")
-    items = materialise(differences(around, texts), "minhash-differences")
-    times = items.groupBy("middle", "shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    ordered = items.join(times, ["middle", "shingle"]).groupBy("middle", "node", "n_differ").agg(
+    items = differences(around, texts).withColumn(
+        "n", F.count(F.lit(1)).over(Window.partitionBy("middle", "shingle"))).where("n > 1")
+    ordered = items.groupBy("middle", "node", "n_differ").agg(
         F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("shared"))        # those of one node come before
     u, n = F.col("u"), F.col("n_shingles")
     ordered = ordered.join(around, ["middle", "node"]).withColumn("u", whole * F.col("n_differ") - gap * n)
     # common shingles of D that a link needs: with a node of larger u, and with any (its size is at most 100 / t times n)
     least_above = F.greatest(F.lit(1), F.ceil(u / whole))
     least = F.greatest(F.lit(1), F.ceil((threshold * u - 100 * gap * n) / (threshold * whole)))
-    early = ordered.select("middle", "node", "label", "u", least_above.alias("least_above"), least.alias("least"),
-                           F.size("shared").alias("n_shared"), F.posexplode("shared").alias("i", "item")).withColumn(
-        "rest", F.col("n_shared") - F.col("i")).where("rest >= least").select(
-        "middle", F.col("item.shingle").alias("shingle"), "node", "label", "u", "rest", "least_above")
+    room = F.greatest(F.size("shared") - least.cast("int") + 1, F.lit(0))
+    early = ordered.select("middle", "node", "label", "u", least_above.alias("least_above"), F.size("shared").alias(
+        "n_shared"), F.posexplode(F.slice("shared", F.lit(1), room)).alias("i", "item")).select(
+        "middle", F.col("item.shingle").alias("shingle"), "node", "label", "u",
+        (F.col("n_shared") - F.col("i")).alias("rest"), "least_above")
     early = materialise(early, "minhash-early")
     other = early.where("rest >= least_above").select(
         "middle", "shingle", *[F.col(c).alias(f"{c}_") for c in ("node", "label", "u", "rest")])
