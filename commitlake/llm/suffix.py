@@ -16,6 +16,11 @@ else too is found, over all texts, same text included.
 
 Equal texts are one text here; a text that occurs twice repeats as a whole. Texts are known by a 64-bit hash.
 
+``passage_words`` also counts the places of a document where so many words start that another document holds too, white
+space aside; such a passage may be shorter than ``LENGTH`` bytes, and nothing is removed for it. Anchors again: every
+sequence of ``passage_words`` words has a mark, the least hash of its shorter word sequences. Whole sequences are hashed
+and counted only where another text has the mark.
+
 Defined cases: a NULL text counts as empty; texts of fewer than ``LENGTH`` bytes keep everything; repeated rows repeat
 each other; NULL ids are kept; an empty table has no rows; other columns are not looked at.
 """
@@ -23,15 +28,16 @@ each other; NULL ids are kept; an empty table has no rows; other columns are not
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import materialise, prepare
+from commitlake.llm.common import SPACE, WORD, materialise, prepare
 
 LENGTH = 400
 GRAM = 200
@@ -39,6 +45,7 @@ WINDOW = LENGTH - GRAM + 1
 HOT = 5000                 # suffixes with the same first bytes that need not share a bucket
 PART = 1 << 20             # bytes of a text that are hashed at a time
 _PLACE = np.uint64(PART - 1)
+_SPACE = re.compile(f"[{SPACE}]".encode())
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 with np.errstate(over="ignore"):
@@ -46,14 +53,14 @@ with np.errstate(over="ignore"):
     _INVERSE = np.cumprod(np.full(PART + 1, np.uint64(pow(int(_BASE), -1, 1 << 64)), np.uint64))
 
 
-def _window_minima(values: np.ndarray) -> np.ndarray:
-    """The minimum of every ``WINDOW`` consecutive values, from running minima inside blocks of that size."""
+def _window_minima(values: np.ndarray, size: int = WINDOW) -> np.ndarray:
+    """The minimum of every ``size`` consecutive values, from running minima inside blocks of that size."""
     n = len(values)
-    blocks = np.full((-(-n // WINDOW), WINDOW), np.iinfo(np.uint64).max, np.uint64)
+    blocks = np.full((-(-n // size), size), np.iinfo(np.uint64).max, np.uint64)
     blocks.reshape(-1)[:n] = values
     ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
     behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return np.minimum(behind[:n - WINDOW + 1], ahead[WINDOW - 1:n])
+    return np.minimum(behind[:n - size + 1], ahead[size - 1:n])
 
 
 def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -78,6 +85,37 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return all_places, np.concatenate(marks)[first]
 
 
+def word_hashes(data: bytes) -> np.ndarray:
+    """A hash of each word of a text, in order."""
+    parts, start = [np.zeros(0, np.uint64)], 0
+    while start < len(data):
+        cut = _SPACE.search(data, start + PART)
+        end = cut.start() if cut else len(data)
+        words = data[start:end].split()
+        parts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
+        start = end
+    return np.concatenate(parts)
+
+
+def sequence_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` consecutive words, from the words' hashes."""
+    n = max(0, len(words) - size + 1)
+    h = np.zeros(n, np.uint64)
+    for k in range(size):
+        h *= _BASE
+        h += words[k:k + n]
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def passage_marks(words: np.ndarray, size: int) -> np.ndarray:
+    """The mark of every ``size`` consecutive words."""
+    part = size // 5 + 1
+    if len(words) < size:
+        return np.zeros(0, np.int64)
+    return _window_minima(sequence_hashes(words, part), size - part + 1).view(np.int64)
+
+
 def multikey_sort(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, common prefix length of each row with the one before it in that order) of fixed-width byte rows."""
     n, width = rows.shape
@@ -164,9 +202,49 @@ def _arrow(rows: list[tuple], schema: str) -> pa.RecordBatch:
                                       [name for name, _ in fields])
 
 
-def find_repeats(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _met_elsewhere(rows: DataFrame, by: str) -> DataFrame:
+    """The rows whose value of ``by`` stands in rows of another text_key too."""
+    same = Window.partitionBy(by)
+    ends = {"a": F.min("text_key").over(same), "b": F.max("text_key").over(same)}
+    return rows.withColumns(ends).where("a < b").drop("a", "b")
+
+
+def shared_marks(texts: DataFrame, size: int) -> DataFrame:
+    """(text_key, marks): marks of ``size`` words that another text of (text_key, t) has as well."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [np.unique(passage_marks(word_hashes(t.as_py().encode()), size)) for t in batch.column(1)]
+            if marks:
+                keys = np.repeat(batch.column(0).to_numpy(), [len(m) for m in marks])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(marks)), pa.array(keys)], ["mark", "text_key"])
+
+    met = _met_elsewhere(texts.mapInArrow(find, "mark long, text_key long"), "mark")
+    return met.groupBy("text_key").agg(F.collect_set("mark").alias("marks"))
+
+
+def count_passages(marked: DataFrame, size: int) -> DataFrame:
+    """(text_key, n_passages) from (text_key, t, marks) of distinct texts: places where ``size`` words start that another
+    text holds too; texts without any are left out."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text, marks in zip(*batch.columns):
+                words = word_hashes(text.as_py().encode())
+                kept = np.isin(passage_marks(words, size), marks.values.to_numpy())
+                found, n = np.unique(sequence_hashes(words, size)[kept].view(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), key.as_py(), np.int64)),
+                                                  pa.array(n)], ["passage", "text_key", "n"])
+
+    rows = marked.where("marks IS NOT NULL").select("text_key", "t", "marks")
+    met = _met_elsewhere(rows.mapInArrow(find, "passage long, text_key long, n long"), "passage")
+    return met.groupBy("text_key").agg(F.sum("n").alias("n_passages"))
+
+
+def find_repeats(texts: DataFrame, passage_words: int | None = None) -> tuple[DataFrame, DataFrame]:
     """From (text_key, t), a row per text or copy of it: (text_key, start, end) of the repeated ranges of distinct texts
-    (ranges of one text may overlap), and (text_key, t, places) of the texts that have anchors in question."""
+    (ranges of one text may overlap), and (text_key, t, places) of the texts that have anchors in question, with
+    ``passage_words`` also those with marks in question (text_key, t, places, marks; either may be NULL)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,6 +262,8 @@ def find_repeats(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
                                            (F.count(F.lit(1)) > HOT).alias("hot")).where("a < b")
     kept = found.join(repeated.select("mark", "hot"), "mark").groupBy("text_key").agg(
         F.collect_set(F.struct("place", "hot")).alias("places"))
+    if passage_words:
+        kept = kept.join(shared_marks(texts, passage_words), "text_key", "full")
     one_text = texts.groupBy("text_key").agg(F.any_value("t").alias("t"))
     marked = materialise(one_text.join(kept, "text_key"), "suffix-texts")
 
@@ -198,7 +278,7 @@ def find_repeats(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
                     yield _arrow(rows, NARROW if narrow else WIDE)
         return suffixes
 
-    cuts = marked.select("text_key", "t", "places")
+    cuts = marked.where("places IS NOT NULL").select("text_key", "t", "places")
     suffixes = cuts.mapInArrow(cut(False), WIDE).groupBy("right", "left", "hot").agg(F.count(F.lit(1)).alias("n"))
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,14 +326,18 @@ def without(data: bytes, runs: list[tuple[int, int]]) -> bytes:
 REMOVED = "text_key long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def dedup_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes that are left."""
+def dedup_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                passage_words: int | None = None) -> DataFrame:
+    """One row per row of ``docs``: id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes that are left; with
+    ``passage_words`` also n_passages, the places where so many words start that another row holds too."""
     prepare(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
+    n_words = [F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words")] if passage_words else []
+    least = min(LENGTH, 2 * passage_words - 1) if passage_words else LENGTH
     rows = materialise(docs.select(F.col(id_col).alias("k"), F.xxhash64(text).alias("text_key"), F.octet_length(text).cast(
-        "long").alias("n_bytes"), F.sha2(text, 256).alias("sha")), "suffix-rows")
-    texts = docs.select(F.xxhash64(text).alias("text_key"), text.alias("t")).where(F.octet_length("t") >= LENGTH)
-    ranges, marked = find_repeats(texts)
+        "long").alias("n_bytes"), F.sha2(text, 256).alias("sha"), *n_words), "suffix-rows")
+    texts = docs.select(F.xxhash64(text).alias("text_key"), text.alias("t")).where(F.octet_length("t") >= least)
+    ranges, marked = find_repeats(texts, passage_words)
     spans = ranges.groupBy("text_key").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,12 +350,18 @@ def dedup_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield _arrow(out, REMOVED)
 
     removed = marked.join(spans, "text_key").select("text_key", "t", "ranges").mapInArrow(remove, REMOVED)
-    copied = rows.where(F.col("n_bytes") >= LENGTH).groupBy("text_key").agg(F.count(F.lit(1)).alias("copies"))
+    copied = rows.where(F.col("n_bytes") >= least).groupBy("text_key").agg(F.count(F.lit(1)).alias("copies"))
     copied = copied.where("copies > 1")
     found = rows.join(removed, "text_key", "left").join(copied, "text_key", "left")
-    whole = F.col("copies").isNotNull()
+    whole = F.col("copies").isNotNull() & (F.col("n_bytes") >= LENGTH)
+    n_passages = []
+    if passage_words:
+        found = found.join(count_passages(marked, passage_words), "text_key", "left")
+        n_passages = [F.when(F.col("copies").isNotNull(), F.greatest(F.col("n_words") - (passage_words - 1), F.lit(0)))
+                      .otherwise(F.coalesce("n_passages", F.lit(0))).alias("n_passages")]
     return found.select(
         F.col("k").alias(id_col), "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"))
+        F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
+        *n_passages)

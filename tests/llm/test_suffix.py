@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from commitlake.llm import suffix
+from commitlake.llm.queries import op2_suffix_dedup
 
 
 def brute(texts):
@@ -126,3 +127,65 @@ def test_edges(request, name):
     key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
     want = sorted(((r.doc_id, *b) for r, b in zip(rows, brute([r.text for r in rows]))), key=key)
     assert sorted((tuple(r) for r in suffix.dedup_table(docs).collect()), key=key) == want
+
+
+def brute_passages(texts, size):
+    """Per text, the places where ``size`` words start that another of the texts holds too."""
+    sequences = []
+    for t in texts:
+        words = (t or "").encode().split()
+        sequences.append([tuple(words[i:i + size]) for i in range(len(words) - size + 1)])
+    held = Counter(s for found in sequences for s in set(found))
+    return [sum(held[s] > 1 for s in found) for found in sequences]
+
+
+def test_passages_of_over_50_words_below_the_length(spark):
+    rng = random.Random(8)
+
+    def words(n):
+        return ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 8))) for _ in range(n)]
+
+    passages = [words(n) for n in (49, 50, 51, 52, 55, 60, 68, 120)]
+    texts = [" ".join(words(rng.randrange(90)) + p + words(rng.randrange(90))) for p in passages for _ in range(3)]
+    alone = words(150)
+    texts += [" ".join(alone + words(5) + alone), " ".join(words(300)), None, "", " ".join(passages[3]), " ".join(passages[4])]
+    texts += ["\n".join(passages[5]), " ".join(words(60)), "a " * 90, "a " * 70 + "b", "x" * 1000, texts[3]]
+    texts += [" ".join(["pq"] * 60)] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r.doc_id: tuple(r)[1:] for r in suffix.dedup_table(docs, passage_words=51).collect()}
+    want = [(*b, n) for b, n in zip(brute(texts), brute_passages(texts, 51))]
+    assert [found[i] for i in range(len(texts))] == want
+    assert all(found[i][1] == 0 and found[i][4] > 0 for i in range(6, 18))      # 51 to 60 words, none of 400 bytes
+    assert found[24][1] > 0 and found[24][4] == 0                               # repeats itself, no other document
+
+
+def test_query_counts_passages(spark, tmp_path):
+    rng = random.Random(10)
+
+    def words(n):
+        return ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 8))) for _ in range(n)]
+
+    passage = words(51)
+    texts = [" ".join(words(40) + passage + words(40)) for _ in range(2)] + [" ".join(words(131))]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: (r.n_removed, r.n_passages) for r in op2_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert found == {0: (0, 1), 1: (0, 1), 2: (0, 0)}
+
+
+def test_words_are_hashed_in_parts(monkeypatch):
+    rng = random.Random(9)
+    data = " \t\n".join(prose(rng, rng.randrange(0, 40), "abc\n é") for _ in range(200)).encode()
+    whole = suffix.word_hashes(data)
+    assert len(whole) == len(data.split())
+    monkeypatch.setattr(suffix, "PART", 64)
+    assert (suffix.word_hashes(data) == whole).all()
+
+
+@pytest.mark.parametrize("name", ["edge", "clashing", "nothing"])
+def test_passages_of_edges(request, name):
+    docs = request.getfixturevalue(name)
+    rows = docs.select("doc_id", "text").collect()
+    texts = [r.text for r in rows]
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    want = sorted(((r.doc_id, *b, n) for r, b, n in zip(rows, brute(texts), brute_passages(texts, 51))), key=key)
+    assert sorted((tuple(r) for r in suffix.dedup_table(docs, passage_words=51).collect()), key=key) == want
