@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commitlake.operators.dedupe import keep_latest
-from commitlake.session import shared_dir
+from commitlake.session import free_shuffles, shared_dir
 
 # Text columns with about one value per row; author and owner URLs are not among them, they repeat and compress well.
 NEAR_UNIQUE_COLUMNS = {"sha", "commit_sha", "tree_sha", "node_id", "commit_message", "data", "commit_api_url",
@@ -146,7 +146,8 @@ class VersionedTable:
         folder = self.path(version)
         by = self.cluster_by
         out = df.repartitionByRange(*by).sortWithinPartitions(*by) if by else df
-        out.write.mode("errorifexists").options(**parquet_options(df.columns)).parquet(folder)
+        with free_shuffles(self.spark):
+            out.write.mode("errorifexists").options(**parquet_options(df.columns)).parquet(folder)
         new = {f"v={version:06d}/{n}": {} for n in self._data_files(folder)}
         if self.watermarks and new:                           # one row per new file, from the watermark columns alone
             written = self.spark.read.schema(schema).parquet(folder)
@@ -259,7 +260,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
 def stored(batch: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     """``batch`` written once to the shared folder and read back, so that it is evaluated once."""
     path = shared_dir(spark, "batches", f"{name}-{uuid.uuid4().hex}")
-    batch.write.options(**parquet_options(batch.columns)).parquet(path)
+    with free_shuffles(spark):
+        batch.write.options(**parquet_options(batch.columns)).parquet(path)
     return spark.read.schema(batch.schema).parquet(path)
 
 

@@ -4,11 +4,12 @@ A merge rewrites the periods that hold a key of the batch or get a row of it, an
 its periods, whatever the size of the table. There are no file lists and no versions; Spark's own partition discovery
 finds the files and its partition filters skip the others. New rows are dealt to files by ``REBALANCE`` on the period, so
 a period with a third of all rows is split over tasks and files, and short periods share a task; old rows of a rewritten
-period are not exchanged while the batch's keys are few (by their bytes).
+period are not exchanged while the batch's keys in it are few (by their bytes).
 
-Periods are replaced one after the other at the end of the job. A merge that is lost in between is repeated with the same
-batch, as the watermark moves only after it: upserting a row twice changes nothing. There is one writer at a time, and
-frames read before a merge have to be read again.
+A merge replaces its periods in rounds of some neighbouring ones, so that besides the table and the batch only a round's
+files and keys lie on disk. A merge that is lost in between is repeated with the same batch, as the watermark moves only
+after the last round: upserting a row twice changes nothing. There is one writer at a time, and frames read before a merge
+have to be read again.
 """
 
 from __future__ import annotations
@@ -20,13 +21,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commitlake.operators.dedupe import keep_latest
-from commitlake.operators.incremental import _plain, parquet_options, watermark_value
+from commitlake.operators.incremental import _plain, parquet_options, stored, watermark_value
+from commitlake.session import free_shuffles, input_bytes
 
 PERIOD = "period"
 GRAINS = {"month": "'m'yyyy-MM", "day": "'d'yyyy-MM-dd"}       # the letter keeps the folder name a string
 NO_TIME = "none"
 STATE = "_state.json"      # names with an underscore are no data to Spark's readers
-BROADCAST_BYTES = 32 << 20 # of a batch's keys; beyond it Spark joins by an exchange
+BROADCAST_BYTES = 32 << 20 # of a batch's keys, or of those that a round replaces; beyond it Spark joins by an exchange
+ROUND_BYTES = 1 << 30      # of files that a round of a merge rewrites, more in a table of over ROUNDS times as many
+ROUNDS = 16
 
 
 class PartitionedTable:
@@ -89,17 +93,22 @@ class PartitionedTable:
         names = [r[0] for r in self._dated(rows).select(PERIOD).distinct().collect()]
         return self._rows().where(F.col(PERIOD).isin(names)).drop(PERIOD)
 
-    def _put(self, rows: DataFrame, mode: str) -> None:
-        """Write whole periods; the maxima of the watermark columns are observed on the way."""
+    def _put(self, rows: DataFrame, mode: str) -> dict:
+        """Write whole periods; the maxima of the watermark columns, observed on the way."""
         seen = Observation()
         if self.watermarks:
             rows = rows.observe(seen, *[F.max(_plain(c, rows.schema)).alias(c) for c in self.watermarks])
-        rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PERIOD).options(
-            **parquet_options(rows.columns)).parquet(self.path)
+        with free_shuffles(self.spark):
+            rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PERIOD).options(
+                **parquet_options(rows.columns)).parquet(self.path)
+        return {c: seen.get[c] for c in self.watermarks}
+
+    def _finish(self, schema: T.StructType, highs: list[dict], mode: str) -> None:
+        """Leave the state of a write that has put all its rows."""
         high = {**((self._state() or {}).get("high", {}) if mode == "dynamic" else {})}
         for c in self.watermarks:
-            high[c] = max((x for x in (high.get(c), seen.get[c]) if x is not None), default=None)
-        self._leave_state({"schema": rows.schema.jsonValue(), "high": high})
+            high[c] = max((h[c] for h in [high, *highs] if h.get(c) is not None), default=None)
+        self._leave_state({"schema": schema.jsonValue(), "high": high})
 
     def _leave_state(self, state: dict) -> None:
         fs, place = self._place(STATE)
@@ -109,7 +118,8 @@ class PartitionedTable:
 
     def write(self, df: DataFrame) -> DataFrame:
         """Replace the whole table."""
-        self._put(self._dated(df).hint("rebalance", PERIOD), "static")
+        rows = self._dated(df)
+        self._finish(rows.schema, [self._put(rows.hint("rebalance", PERIOD), "static")], "static")
         return self.read()
 
     def high_watermark(self, column: str):
@@ -130,28 +140,79 @@ class PartitionedTable:
         few = sum(arriving.values()) <= BROADCAST_BYTES
         batch_keys = batch.select(*keys).distinct()
         batch_keys = F.broadcast(batch_keys) if few else batch_keys
-        counts = []
-        if set(self.periods()) - set(arriving):                 # else every period is rewritten anyway
-            hit = F.lit(1).alias("hit")
-            counts = target.select(PERIOD, *keys).join(batch_keys.select(*keys, hit), keys, "left").groupBy(PERIOD).agg(
-                F.count(F.lit(1)).alias("rows"), F.count("hit").alias("hits")).where("hits > 0").collect()
-        touched = sorted({*arriving, *(r[PERIOD] for r in counts)})
-        old = target.where(F.col(PERIOD).isin(touched))                       # a partition filter
         if order:
-            merged = keep_latest(old.unionByName(batch), keys, order).hint("rebalance", PERIOD)
-        elif few:                          # the rows that stay are not exchanged: they come in files of their period
-            merged = old.join(batch_keys, keys, "left_anti").unionByName(batch.hint("rebalance", PERIOD))
-        else:
-            merged = old.join(batch_keys, keys, "left_anti").unionByName(batch).hint("rebalance", PERIOD)
-        # a period all of whose rows have moved elsewhere gets no new folder: it has to be removed
+            return self._merge_ordered(target, batch, batch_keys, arriving, keys, order)
+        gone, replaced, emptied = batch_keys, {}, set()
+        if not few:                        # the keys of old rows that go, by period: a round needs its own ones only
+            gone = stored(target.select(PERIOD, *keys).join(batch_keys, keys, "left_semi").groupBy(PERIOD, *keys).agg(
+                F.count(F.lit(1)).alias("hits_")), self.spark, "replaced")
+            found = gone.groupBy(PERIOD).agg(F.sum("hits_").alias("hits"), size).collect()
+            replaced = {r[PERIOD]: r["size"] for r in found}
+            others = {r[PERIOD]: r.hits for r in found if r[PERIOD] not in arriving}
+            if others:
+                rows = target.where(F.col(PERIOD).isin(sorted(others))).groupBy(PERIOD).agg(F.count(F.lit(1)).alias("rows"))
+                emptied = {r[PERIOD] for r in rows.collect() if r.rows == others[r[PERIOD]]}
+        elif set(self.periods()) - set(arriving):               # else every period is rewritten anyway
+            counts = self._counts(target, batch_keys, keys)
+            replaced = dict.fromkeys((r[PERIOD] for r in counts), 0)
+            emptied = {r[PERIOD] for r in counts if r.hits == r.rows} - set(arriving)
+        highs = []
+        for some in self._rounds(sorted({*arriving, *replaced} - emptied), replaced):
+            old, new = (df.where(F.col(PERIOD).isin(some)) for df in (target, batch))   # of the table a partition filter
+            going = gone if few else gone.where(F.col(PERIOD).isin(some)).select(*keys)
+            if few or sum(replaced.get(p, 0) for p in some) <= BROADCAST_BYTES:
+                # the rows that stay are not exchanged: they come in files of their period
+                merged = old.join(F.broadcast(going), keys, "left_anti").unionByName(new.hint("rebalance", PERIOD))
+            else:
+                merged = old.join(going, keys, "left_anti").unionByName(new).hint("rebalance", PERIOD)
+            highs.append(self._put(merged, "dynamic"))
+        self._remove(emptied)
+        self._finish(merged.schema, highs, "dynamic")
+        return self.read()
+
+    def _merge_ordered(self, target: DataFrame, batch: DataFrame, batch_keys: DataFrame, arriving: dict[str, int],
+                       keys: list[str], order: list[Column]) -> DataFrame:
+        """One round: which row of a key stays is known only where all its periods are read."""
+        counts = self._counts(target, batch_keys, keys) if set(self.periods()) - set(arriving) else []
+        touched = sorted({*arriving, *(r[PERIOD] for r in counts)})
+        merged = keep_latest(target.where(F.col(PERIOD).isin(touched)).unionByName(batch), keys, order).hint("rebalance", PERIOD)
         emptied = {r[PERIOD] for r in counts if r.hits == r.rows} - set(arriving)
-        if emptied and order:
+        if emptied:
             emptied -= {r[0] for r in merged.where(F.col(PERIOD).isin(sorted(emptied))).select(PERIOD).distinct().collect()}
-        self._put(merged, "dynamic")
-        for period in sorted(emptied):
+        high = self._put(merged, "dynamic")
+        self._remove(emptied)
+        self._finish(merged.schema, [high], "dynamic")
+        return self.read()
+
+    def _counts(self, target: DataFrame, batch_keys: DataFrame, keys: list[str]) -> list:
+        """(period, rows, hits) of the periods that hold a key of the batch."""
+        hit = F.lit(1).alias("hit")
+        return target.select(PERIOD, *keys).join(batch_keys.select(*keys, hit), keys, "left").groupBy(PERIOD).agg(
+            F.count(F.lit(1)).alias("rows"), F.count("hit").alias("hits")).where("hits > 0").collect()
+
+    def _rounds(self, periods: list[str], key_bytes: dict[str, int]) -> list[list[str]]:
+        """Neighbouring periods together, up to the limits of a round; a longer period is a round of its own."""
+        fs, place = self._place("")
+        if fs.getContentSummary(place).getLength() <= ROUND_BYTES and sum(key_bytes.values()) <= BROADCAST_BYTES:
+            return [periods]
+        old = {p: input_bytes(self.spark, [f"{self.path}/{PERIOD}={p}"]) for p in periods}
+        most = max(ROUND_BYTES, sum(old.values()) // ROUNDS), max(BROADCAST_BYTES, sum(key_bytes.values()) // ROUNDS)
+        rounds, held = [], (0, 0)
+        for p in periods:
+            size = old[p], key_bytes.get(p, 0)
+            held = held[0] + size[0], held[1] + size[1]
+            if rounds and held[0] <= most[0] and held[1] <= most[1]:
+                rounds[-1].append(p)
+            else:
+                rounds.append([p])
+                held = size
+        return rounds
+
+    def _remove(self, periods: set[str]) -> None:
+        """A period all of whose rows have moved elsewhere gets no new folder: it has to be removed."""
+        for period in sorted(periods):
             fs, place = self._place(f"{PERIOD}={period}")
             fs.delete(place, True)
-        return self.read()
 
     def replace(self, batch: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
         """Delete every row whose ``keys`` (no NULLs) are in ``gone`` and insert ``batch``: whole cells are exchanged for
@@ -165,10 +226,9 @@ class PartitionedTable:
         stays = target.where(F.col(PERIOD).isin(touched)).join(gone.select(*keys).distinct(), keys, "left_anti")
         merged = stays.select(*target.columns).unionByName(batch.select(*target.columns))
         left = {r[0] for r in merged.select(PERIOD).distinct().collect()}
-        self._put(merged.hint("rebalance", PERIOD), "dynamic")
-        for period in sorted(set(touched) & set(self.periods()) - left):
-            fs, place = self._place(f"{PERIOD}={period}")
-            fs.delete(place, True)
+        high = self._put(merged.hint("rebalance", PERIOD), "dynamic")
+        self._remove(set(touched) & set(self.periods()) - left)
+        self._finish(merged.schema, [high], "dynamic")
         return self.read()
 
     def forget(self) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from commitlake.functions.casts import parse_rfc3339, safe_bool, safe_int
 from commitlake.functions.jsonpath import scalar_leaf
+from commitlake.session import free_shuffles
 from commitlake.sources.schemas import ENVELOPE, SDC_COLUMNS, STREAM_FIELDS, payload_schema
 
 
@@ -70,8 +71,9 @@ class Landing:
         """Land ``raw``; columns outside the schema are left out."""
         from commitlake.operators.incremental import parquet_options
         dated = raw.select(*self.schema.names, F.to_date("_sdc_extracted_at").alias(LANDED))
-        dated.hint("rebalance", LANDED).write.mode("append").options(**parquet_options(dated.columns)).partitionBy(
-            LANDED).parquet(self.path)
+        with free_shuffles(self.spark):
+            dated.hint("rebalance", LANDED).write.mode("append").options(**parquet_options(dated.columns)).partitionBy(
+                LANDED).parquet(self.path)
 
     def folders(self) -> list[str]:
         """The landing dates, ascending (one listing; their number is that of days)."""

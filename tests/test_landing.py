@@ -1,13 +1,15 @@
 """Landing in folders by date: the watermark chooses folders, older ones are not listed."""
 
+import time
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from commitlake.operators import PartitionedTable, incremental_run
+from commitlake.operators.incremental import stored
 from commitlake.plans import stg_commits
-from commitlake.session import shared_dir
+from commitlake.session import FREE_SHUFFLES, shared_dir
 from commitlake.sources.envelope import Landing, open_raw, read_raw, write_raw
 
 
@@ -68,3 +70,25 @@ def test_open_raw_knows_the_layout(spark, envelope, dated):
     found = open_raw(spark, landing.path)
     assert isinstance(found, Landing) == dated
     assert (found.read() if dated else found).collect() == raw.collect() and read_raw(spark, landing.path).count() == 1
+
+
+def test_a_finished_write_leaves_no_shuffle_files(spark, envelope):
+    """Landing, first run and batch: their shuffle files are deleted as each write ends, not by garbage collection."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {n for n in disk.getAllFiles().mkString(" ").split() if "shuffle_" in n and n.endswith(".data")}
+
+    landing = new_landing(spark)
+    table = PartitionedTable(spark, shared_dir(spark, "tests", f"freed-{uuid.uuid4().hex}"), "commit_timestamp", "month")
+    raw = envelope([record(f"s{i}", "fix: a", "2024-01-01T00:00:00Z") for i in range(20)])
+    before = shuffles()
+    landing.append(raw)
+    table.write(stg_commits(landing.read()))
+    stored(stg_commits(landing.read()), spark, "freed")
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before and table.read().count() == 20
+    assert spark.conf.get(FREE_SHUFFLES) == "false"

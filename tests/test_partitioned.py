@@ -92,3 +92,51 @@ def test_a_lost_merge_is_repeated(spark, monkeypatch):
 def test_a_clashing_column_is_refused(spark):
     with pytest.raises(ValueError, match="period"):
         new_table(spark).write(frame_of(spark, [(1, 0, 0, "a")]).withColumn("period", F.lit(1)))
+
+
+@pytest.mark.parametrize("broadcast", [1 << 25, 300, 0])
+def test_random_batches_in_rounds_equal_one_big_upsert(spark, monkeypatch, broadcast):
+    """Every round a few periods, some of them emptied, with NULL and repeated keys in the old rows."""
+    monkeypatch.setattr(partitioned, "ROUND_BYTES", 0)
+    monkeypatch.setattr(partitioned, "BROADCAST_BYTES", broadcast)
+    rng = random.Random(broadcast + 1)
+    table = new_table(spark)
+    kept = [(rng.choice([None, *range(30)]), rng.choice([None, *range(0, 300, 50)]), 0, f"old {i}") for i in range(60)]
+    table.write(frame_of(spark, kept))
+    for w in (1, 2):
+        batch = [(k, rng.choice([None, 20, 200, 400]), w, f"v{w}") for k in [None, *rng.sample(range(35), 20)]]
+        table.merge(frame_of(spark, batch), ["k"])
+        keys = {k for k, *_ in batch if k is not None}
+        kept = [r for r in kept if r[0] not in keys] + batch
+        assert rows_of(table.read()) == rows_of(frame_of(spark, kept))
+        assert table.high_watermark("w") == w
+        held = table.read().select(F.date_format("t", "'m'yyyy-MM")).distinct().collect()
+        assert set(table.periods()) == {r[0] or partitioned.NO_TIME for r in held}
+
+
+def test_many_keys_leave_old_rows_in_place(spark, monkeypatch):
+    """A batch with too many keys to broadcast at once: the rounds do, and no old row is exchanged."""
+    monkeypatch.setattr(partitioned, "BROADCAST_BYTES", 10_000)
+    table = new_table(spark)
+    table.write(frame_of(spark, [(i, i // 10, 0, f"text {i}") for i in range(7200)]))
+    puts, put = [], table._put
+    monkeypatch.setattr(table, "_put", lambda rows, mode: puts.append(rows._jdf.queryExecution().executedPlan().toString()) or put(rows, mode))
+    table.merge(frame_of(spark, [(i, i // 10, 1, "new") for i in range(0, 7200, 2)]), ["k"])
+    assert 1 < len(puts) <= partitioned.ROUNDS + 1
+    assert all("BroadcastHashJoin" in p and "SortMergeJoin" not in p and p.count("REBALANCE") == 1 for p in puts)
+    assert table.read().count() == 7200 and table.read().where("v = 'new'").count() == 3600
+
+
+def test_a_merge_lost_between_rounds_is_repeated(spark, monkeypatch):
+    monkeypatch.setattr(partitioned, "ROUND_BYTES", 0)
+    table = new_table(spark)
+    first, both = [(1, 0, 1, "a"), (2, 40, 1, "b")], [(1, 0, 1, "a"), (2, 40, 1, "b"), (1, 40, 2, "A"), (2, 0, 2, "B"), (3, 80, 2, "C")]
+    incremental_run(frame_of(spark, first), lambda df: df, table, ["k"], "w")
+    put, calls = table._put, []
+    with monkeypatch.context() as m:
+        m.setattr(table, "_put", lambda *x: put(*x) if not calls.append(1) and len(calls) < 2 else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            incremental_run(frame_of(spark, both), lambda df: df, table, ["k"], "w")
+    assert table.high_watermark("w") == 1
+    out = incremental_run(frame_of(spark, both), lambda df: df, table, ["k"], "w")
+    assert sorted((r.k, r.v) for r in out.collect()) == [(1, "A"), (2, "B"), (3, "C")] and table.high_watermark("w") == 2
