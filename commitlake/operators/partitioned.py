@@ -29,7 +29,7 @@ GRAINS = {"month": "'m'yyyy-MM", "day": "'d'yyyy-MM-dd"}       # the letter keep
 NO_TIME = "none"
 STATE = "_state.json"      # names with an underscore are no data to Spark's readers
 BROADCAST_BYTES = 32 << 20 # of a batch's keys, or of those that a round replaces; beyond it Spark joins by an exchange
-ROUND_BYTES = 1 << 30      # of files that a round of a merge rewrites, more in a table of over ROUNDS times as many
+ROUND_BYTES = 2 << 30      # of files that a round of a merge rewrites, more in a table of over ROUNDS times as many
 ROUNDS = 16
 
 
